@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import embed_dedup, url_filter
+from tidewave.llm import embed_dedup, language_id, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
@@ -21,8 +21,14 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language_id.languages(docs, fold_of("doc_id", 4) != 2)
+    return found.withColumn("held_out", fold_of("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_embedding_near_dedup, op8_url_filters)}
+    return {f.__name__: f for f in (op5_embedding_near_dedup, op8_url_filters, op9_language_id)}
 
 
 def _op8_sql() -> str:
