@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import embed_dedup, language_id, url_filter
+from tidewave.llm import embed_dedup, language_id, line_crf, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
@@ -17,6 +17,11 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_crf.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
+    return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -28,7 +33,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_embedding_near_dedup, op8_url_filters, op9_language_id)}
+    return {f.__name__: f for f in (op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id)}
 
 
 def _op8_sql() -> str:
