@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import embed_dedup, language_id, line_crf, toxicity, url_filter
+from tidewave.llm import embed_dedup, language_id, line_crf, ngram_join, toxicity, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.shingle_classes(documents(spark, sf_dir))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"), fold_of("doc_id", 3) != 1)
     return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
@@ -38,7 +42,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id)}
 
 
 def _op8_sql() -> str:
