@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import embed_dedup, language_id, line_crf, ngram_join, toxicity, url_filter
+from tidewave.llm import decontaminate, embed_dedup, language_id, line_crf, ngram_join, toxicity, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
@@ -41,8 +41,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", fold_of("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id, op10_benchmark_decontamination)}
 
 
 def _op8_sql() -> str:
