@@ -66,6 +66,70 @@ def _heavy(docs: DataFrame) -> np.ndarray:
     return order
 
 
+def _sort_keys(held: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return rank[(held % np.uint64(SKETCH)).astype(np.intp)]
+
+
+def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int, rank: np.ndarray) -> bool:
+    """Whether two sets may link, by their prefixes: up to the lesser end all common members are known."""
+    rx, ry = _sort_keys(x, rank), _sort_keys(y, rank)
+    ends = [(r[-1], h[-1]) for h, r, n in ((x, rx, nx), (y, ry, ny)) if len(h) < n]
+    if ends:
+        at, to = min(ends)
+        x = x[(rx < at) | ((rx == at) & (x <= to))]
+        y = y[(ry < at) | ((ry == at) & (y <= to))]
+    bound = len(np.intersect1d(x, y, assume_unique=True)) + min(nx - len(x), ny - len(y))
+    return 100 * bound >= PERCENT * (nx + ny - bound)
+
+
+def _possible(pairs: DataFrame, reps: DataFrame, order) -> DataFrame:
+    """The distinct ``pairs`` (a, b) that sizes and prefixes let link."""
+    size = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"))
+    start = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("start").alias(f"s{k}"))
+    fits = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
+    sized = pairs.join(size("a"), "a").join(size("b"), "b").where(fits).select("a", "b").distinct()
+    both = sized.join(start("a"), "a").join(start("b"), "b").where(fits)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = order.value
+        for b in batches_of(batches, 512):
+            na, nb = b.column("na").to_pylist(), b.column("nb").to_pylist()
+            sa, sb = ([np.asarray(v, dtype=np.int64).view(np.uint64) for v in b.column(k).to_pylist()] for k in ("sa", "sb"))
+            good = pa.array([may_link(sa[i], na[i], sb[i], nb[i], rank) for i in range(b.num_rows)], pa.bool_())
+            yield b.select(["a", "b"]).filter(good)
+
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(keep, "a long, b long").distinct()
+
+
+def _sets(base: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rep, held): the whole sets of the documents in ``pairs``, from their texts.
+
+    A bit for each such document tells every task which texts to read; others that share its bit are read in
+    vain and find no pair.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS)) + 1  # noqa: E731  bitmap functions count from 1
+    bits = (
+        pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        .collect()
+    )
+    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)  # BITS / 8 bytes at most
+    for r in bits:
+        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
+    wanted = base.sparkSession.sparkContext.broadcast(table.ravel())
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = wanted.value
+        for b in batches_of(batches, 256):
+            slots = b.column("slot").to_numpy() - 1
+            part = b.take(pa.array(np.flatnonzero(marks[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)))
+            held = [shingles(t) for t in part.column("text").to_pylist()]
+            keep = [i for i, h in enumerate(held) if len(h)]
+            yield pa.record_batch([part.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([held[i].tobytes() for i in keep], pa.binary())], ["rep", "held"])
+
+    return base.select("doc_id", "text", slot("doc_id").alias("slot")).mapInArrow(load, "rep long, held binary").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with the sizes of intersection and union of their sets."""
 
@@ -98,7 +162,7 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
     hub: they probe the list's blocks, keyed by size class; blocks of sizes that can't link are never met, and
     the position of the shared shingle bounds the overlap. Answers known for the hub carry over to its similar
     sets: a member in the same component needs no comparison, and one whose distance from the hub differs by more
-    than the threshold can't link. All other pairs are compared in full.
+    than the threshold can't link. Pairs are first bounded by their sizes and prefixes, then compared in full.
 
     Null, empty and blank texts have no shingles and form their own classes. Rows that repeat a doc_id are one
     document that links wherever one of its texts does; each gives a row. Shingles are held as 64-bit hashes.
@@ -120,54 +184,24 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                     starts.append(None)
                     continue
                 keys.append(hashlib.blake2b(held.tobytes(), digest_size=16).digest())
-                first = held[np.lexsort((held, rank[(held % np.uint64(SKETCH)).astype(np.intp)]))][: prefix_size(len(held))]
+                first = held[np.lexsort((held, _sort_keys(held, rank)))][: prefix_size(len(held))]
                 starts.append(first.view(np.int64))
             lists = pa.array(starts, pa.list_(pa.int64()))
             yield pa.record_batch([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "key", "start"])
 
     described = stored(base.mapInArrow(describe, "doc_id long, n long, key binary, start array<long>"), "shingles")
-    reps = (
+    reps = stored(
         described.where("key is not null").groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("start").alias("start"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("start").alias("start")),
+        "classes",
     )
     index = reps.select("rep", "n", F.posexplode("start").alias("pos", "token"))
     hubs = index.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
     lists = stored(index.join(hubs, "token"), "lists")
 
-    pairs = stored(lists.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    # A bit for each set that is compared; others that share its bit are read in vain and dropped by the join.
-    slot = F.pmod(F.xxhash64("id"), F.lit(BITS)) + 1  # these functions count from 1
-    bits = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
-    )
-    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)  # BITS / 8 bytes at most
-    for r in bits:
-        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
-    wanted = spark.sparkContext.broadcast(table.ravel())
-
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = wanted.value
-        for b in batches_of(batches, 256):
-            slots = b.column("slot").to_numpy()
-            keep = np.flatnonzero(marks[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)
-            part = b.take(pa.array(keep))
-            held = [shingles(t) for t in part.column("text").to_pylist()]
-            keep = [i for i, h in enumerate(held) if len(h)]
-            yield pa.record_batch([part.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([held[i].tobytes() for i in keep], pa.binary())], ["rep", "held"])
-
-    compared = base.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("slot"))
-    sets = stored(compared.mapInArrow(load, "rep long, held binary"), "sets")
-
-    size_of = reps.groupBy("rep").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = (
-        pairs.join(size_of.select(F.col("rep").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma")), "a")
-        .join(size_of.select(F.col("rep").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb")), "b")
-        .where((F.col("ma") * 100 >= F.col("lb") * PERCENT) & (F.col("mb") * 100 >= F.col("la") * PERCENT))
-        .select("a", "b")
-    )
-    first = stored(_verified(fits, sets), "compared")
+    pairs = lists.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = stored(_possible(pairs, reps, order), "pairs")
+    first = stored(_verified(pairs, _sets(base, pairs)), "compared")
     linked = F.col("both") * 100 >= F.col("whole") * PERCENT
     links = first.where(linked).select("a", "b")
     groups = connected_components(links)
@@ -199,8 +233,10 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                & ~(F.col("s.sure") & F.col("o.sure") & apart))
         .select(F.col("s.rep").alias("a"), F.col("o.rep").alias("b")).distinct()
     )
-    more = stored(_verified(stored(rest, "rest"), sets).where(linked).select("a", "b"), "more")
-    groups = connected_components(links.unionByName(more)) if not more.isEmpty() else groups
+    rest = stored(_possible(rest, reps, order), "rest")
+    if not rest.isEmpty():
+        more = stored(_verified(rest, _sets(base, rest)).where(linked).select("a", "b"), "more")
+        groups = connected_components(links.unionByName(more))
 
     classes = reps.select("key", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("class"))
     return described.join(classes, "key", "left").select(
