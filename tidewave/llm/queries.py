@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import decontaminate, embed_dedup, language_id, line_crf, ngram_join, packing, toxicity, url_filter
+from tidewave.llm import decontaminate, embed_dedup, language_id, line_crf, lm_score, ngram_join, packing, toxicity, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
@@ -22,6 +22,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.lm_scores(documents(spark, sf_dir), fold_of("doc_id", 7) != 2)
+    return found.withColumn("held_out", fold_of("doc_id", 7) == 2)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), str(public_tokenizers.path("word_bpe_49k.json")))
 
@@ -51,7 +56,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_best_fit_packing, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_best_fit_packing, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id, op10_benchmark_decontamination)}
 
 
 def _op8_sql() -> str:
