@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -17,8 +18,10 @@ from tidewave.llm.graph import connected_components
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Counters of the frequency sketch that orders shingles, and bits of the map of sets that must be compared.
-SKETCH, BITS = 1 << 22, 1 << 26
+#: Documents that make a shingle frequent, and the share of a document's hashes in which these are sought.
+HOT, BAND = 24, 0.36
+#: Bits of the maps of frequent shingles and of the sets that must be compared.
+BITS = 1 << 26
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
@@ -44,30 +47,66 @@ def prefix_size(n: np.ndarray | int) -> np.ndarray | int:
     return n - -(-n * PERCENT // 100) + 1
 
 
-def _heavy(docs: DataFrame) -> np.ndarray:
-    """How many documents hold the shingles of each counter of a sketch, where these are far above the rest.
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """BITS / 8 bytes with a bit for each value of ``slots`` (slot, from 0)."""
+    rows = (
+        slots.select((F.col("slot") + 1).alias("slot"))  # these functions count from 1
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        .collect()
+    )
+    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)
+    for r in rows:
+        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return table.ravel()
+
 
-    Any function of a shingle gives a valid order, so that what the sketch leaves out costs time, never a link.
+def _bit(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots.astype(np.int64)
+    return table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1
+
+
+def _sum_slots(rows: pd.DataFrame) -> pd.DataFrame:
+    slots = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["slots"]])
+    counts = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["counts"]])
+    held, back = np.unique(slots, return_inverse=True)
+    return pd.DataFrame({"slot": held[np.bincount(back, counts) >= HOT].astype(np.int64) % BITS})
+
+
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Bits of the shingles that HOT or more documents hold, among those that can be in a prefix.
+
+    Prefixes go by hash, so that only the lowest share of a document's hashes is counted, each as 32 bits. A task
+    sums its own; the sums meet in groups that grow in number with the documents. Any function of a shingle gives
+    a valid order of shingles: what the bits merge or leave out costs time, never a link.
     """
+    parts = 1 << max(4, int(np.ceil(np.log2(max(1, docs.count()) / 4000))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SKETCH, dtype=np.int32)
-        for b in batches_of(batches, 128):
-            held = [shingles(t) for t in b.column("text").to_pylist()]
-            if held:
-                np.add.at(seen, (np.concatenate(held) % np.uint64(SKETCH)).astype(np.intp), 1)
-        slots = np.flatnonzero(seen >= 6 + 4 * seen.mean())
-        yield pa.record_batch([pa.array(slots), pa.array(seen[slots].astype(np.int64))], ["slot", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    order = np.zeros(SKETCH, dtype=np.int32)  # at most SKETCH rows of two longs came here
-    for r in rows:
-        order[r["slot"]] = min(r["n"], 2**31 - 1)
-    return order
+        seen, waiting = [], 0
+        for b in batches_of(batches, 256):
+            for text in b.column("text").to_pylist():
+                held = shingles(text)
+                seen.append(held[: int(BAND * len(held)) + 2].astype(np.uint32))
+                waiting += len(seen[-1])
+            if waiting > 8_000_000:
+                yield _parted(seen, parts)
+                seen, waiting = [], 0
+        if seen:
+            yield _parted(seen, parts)
+
+    sums = docs.select("text").mapInArrow(count, "part long, slots binary, counts binary")
+    return _bitmap(sums.groupBy("part").applyInPandas(_sum_slots, "slot long"))
+
+
+def _parted(seen: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    held, counts = np.unique(np.concatenate(seen), return_counts=True)
+    cuts = np.searchsorted(held, (np.arange(parts, dtype=np.uint64) * (1 << 32) // parts).astype(np.uint32))[1:]
+    columns = [pa.array(np.arange(parts))] + [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (held, counts.astype(np.uint32))]
+    return pa.record_batch(columns, ["part", "slots", "counts"])
 
 
 def _sort_keys(held: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    return rank[(held % np.uint64(SKETCH)).astype(np.intp)]
+    return _bit(rank, held.astype(np.uint32) % np.uint32(BITS))
 
 
 def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int, rank: np.ndarray) -> bool:
@@ -107,22 +146,13 @@ def _sets(base: DataFrame, pairs: DataFrame) -> DataFrame:
     A bit for each such document tells every task which texts to read; others that share its bit are read in
     vain and find no pair.
     """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS)) + 1  # noqa: E731  bitmap functions count from 1
-    bits = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
-    )
-    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)  # BITS / 8 bytes at most
-    for r in bits:
-        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
-    wanted = base.sparkSession.sparkContext.broadcast(table.ravel())
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    marks = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot")))
+    wanted = base.sparkSession.sparkContext.broadcast(marks)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = wanted.value
         for b in batches_of(batches, 256):
-            slots = b.column("slot").to_numpy() - 1
-            part = b.take(pa.array(np.flatnonzero(marks[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)))
+            part = b.take(pa.array(np.flatnonzero(_bit(wanted.value, b.column("slot").to_numpy()))))
             held = [shingles(t) for t in part.column("text").to_pylist()]
             keep = [i for i, h in enumerate(held) if len(h)]
             yield pa.record_batch([part.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([held[i].tobytes() for i in keep], pa.binary())], ["rep", "held"])
@@ -170,7 +200,7 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     base = docs.where("doc_id is not null").select("doc_id", "text")
-    order = spark.sparkContext.broadcast(_heavy(base))
+    order = spark.sparkContext.broadcast(_frequent(base))  # BITS / 8 bytes
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
@@ -231,8 +261,21 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                & (F.col("s.n") * 100 >= F.col("o.n") * PERCENT) & (F.col("o.n") * 100 >= F.col("s.n") * PERCENT)
                & (bound + F.least("s.pos", "o.pos") >= need)
                & ~(F.col("s.sure") & F.col("o.sure") & apart))
-        .select(F.col("s.rep").alias("a"), F.col("o.rep").alias("b")).distinct()
+        .select(F.least("s.rep", "o.rep").alias("a"), F.greatest("s.rep", "o.rep").alias("b"),
+                *(F.when(F.col("s.rep") < F.col("o.rep"), F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{c}{k}")
+                  for c in ("n", "pos") for k, x, y in (("a", "s", "o"), ("b", "o", "s"))))
+    )
+    # A pair that no hub has decided meets in every list that holds both, so that the rows count the common
+    # members of the prefixes. Beyond its prefix, or its last common member, a set may share all the rest.
+    shared = rest.groupBy("a", "b").agg(
+        F.count("*").alias("c"), F.min("na").alias("la"), F.min("nb").alias("lb"), F.max("na").alias("na"), F.max("nb").alias("nb"),
+        F.max("posa").alias("pa"), F.max("posb").alias("pb"),
+    )
+    beyond = lambda n: F.ceil(F.col(n) * PERCENT / 100) - 1
+    bound = F.col("c") + F.greatest(
+        F.least(beyond("na"), F.col("nb") - F.col("pb") - 1), F.least(F.col("na") - F.col("pa") - 1, beyond("nb"))
     )
+    rest = shared.where(bound * (100 + PERCENT) >= (F.col("la") + F.col("lb")) * PERCENT).select("a", "b")
     rest = stored(_possible(rest, reps, order), "rest")
     if not rest.isEmpty():
         more = stored(_verified(rest, _sets(base, rest)).where(linked).select("a", "b"), "more")
