@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewave.llm import decontaminate, embed_dedup, language_id, line_crf, lm_score, ngram_join, packing, toxicity, url_filter
+from tidewave.llm import decontaminate, embed_dedup, language_id, license_scan, line_crf, lm_score, ngram_join, packing, toxicity, url_filter
 from tidewave.llm.common import documents, fold_of
 from tidewave.session import ship_package, table
 
@@ -36,6 +36,13 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a tree of source, thousands, tens and id."""
+    docs = documents(spark, sf_dir)
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 10).cast("string"), F.col("doc_id").cast("string"))
+    return license_scan.license_scan(docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")).withColumnRenamed("file_id", "doc_id")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_crf.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
     return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -56,7 +63,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_best_fit_packing, op5_embedding_near_dedup, op7_quality_classifier, op8_url_filters, op9_language_id, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_best_fit_packing, op5_embedding_near_dedup, op6_license_scans, op7_quality_classifier, op8_url_filters, op9_language_id, op10_benchmark_decontamination)}
 
 
 def _op8_sql() -> str:
