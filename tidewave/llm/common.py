@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tidewave.session import ship_package, table
 
+#: Bits of a map of ids or hashes that goes to every task: 8 MB.
+BITS = 1 << 26
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,6 +60,44 @@ def batches_of(rows: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             yield batch.slice(start, size)
 
 
+def bitmap(slots: DataFrame) -> np.ndarray:
+    """BITS / 8 bytes with a bit for each value of ``slots`` (slot, from 0)."""
+    rows = (
+        slots.select((F.col("slot") + 1).alias("slot"))  # these functions count from 1
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        .collect()
+    )
+    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)
+    for r in rows:
+        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return table.ravel()
+
+
+def bit_of(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots.astype(np.int64)
+    return table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in ``ids`` (doc_id); rows with a null doc_id stay.
+
+    A map of bits tells most rows apart where they are read. Only rows whose bit is set meet ``ids`` in a join,
+    so that the texts of those to be dropped, and of few others, are shuffled.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(slot.alias("slot"))))
+    columns = docs.columns
+
+    def told(set_: int):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches_of(batches, 1024):
+                yield b.select(columns).filter(pa.array(bit_of(marks.value, b.column("_slot").to_numpy()) == set_))
+
+        return docs.withColumn("_slot", slot).mapInArrow(keep, docs.schema)
+
+    return told(0).unionByName(told(1).join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*columns))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int) -> DataFrame:
     """Up to ``bound`` labelled documents, half of each class where there are so many.
 

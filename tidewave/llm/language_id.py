@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewave.llm.common import Adam, batches_of
 
@@ -140,8 +141,8 @@ def fit(docs: DataFrame, learn: Column) -> ByteNet | None:
     return net
 
 
-def languages(docs: DataFrame, learn: Column) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text, lang).
+def languages(docs: DataFrame, learn: Column, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text, lang); ``carry`` names the columns to return with them.
 
     The network is trained in numpy on a bounded sample (FIT_ROWS documents a language, FIT_WINDOWS windows
     each) of rows where ``learn`` holds. Every text is cut into windows of WINDOW bytes, all of which are scored
@@ -170,6 +171,8 @@ def languages(docs: DataFrame, learn: Column) -> DataFrame:
                 scores[at] = np.exp(sums.max(axis=1)) / np.exp(sums).sum(axis=1)
                 for i, k in zip(at, best):
                     langs[i] = net.langs[k]
-            yield pa.record_batch([b.column("doc_id"), pa.array(langs), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+            yield pa.record_batch([*map(b.column, carry), pa.array(langs), pa.array(scores)], [*carry, "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, lang_pred string, score double")
+    carry = carry or ["doc_id"]
+    shape = StructType(docs.select(*carry).schema.fields).add("lang_pred", "string").add("score", "double")
+    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(score, shape)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewave.llm.common import Adam, batches_of, class_share, labelled_sample, sigmoid
 
@@ -192,8 +193,8 @@ def fit(texts: list[str | None], labels: np.ndarray, share: float) -> dict:
     return p
 
 
-def quality(docs: DataFrame, labels: DataFrame, keep) -> DataFrame:
-    """(doc_id, score) of every row: the probability that its text is of good quality.
+def quality(docs: DataFrame, labels: DataFrame, keep, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, score) of every row: the probability that its text is of good quality; ``carry`` names the columns to return with it.
 
     A linear-chain conditional random field with states bad and good reads every non-blank line by its features
     and its neighbours'. It is trained in numpy on at most FIT_ROWS documents whose label row satisfies ``keep``
@@ -213,6 +214,8 @@ def quality(docs: DataFrame, labels: DataFrame, keep) -> DataFrame:
                 continue
             means = document_means(*line_features(b.column("text").to_pylist()), p, b.num_rows)
             found = sigmoid(p["map"][0] * logit(means) + p["map"][1])
-            yield pa.record_batch([b.column("doc_id"), pa.array(found)], ["doc_id", "score"])
+            yield pa.record_batch([*map(b.column, carry), pa.array(found)], [*carry, "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    carry = carry or ["doc_id"]
+    shape = StructType(docs.select(*carry).schema.fields).add("score", "double")
+    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(score, shape)

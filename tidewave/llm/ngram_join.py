@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewave.llm.common import batches_of, stored, words_of
+from tidewave.llm.common import BITS, batches_of, bit_of, bitmap, stored, words_of
 from tidewave.llm.graph import connected_components
 
 WORDS = 5
@@ -20,8 +20,6 @@ WORDS = 5
 PERCENT = 75
 #: Documents that make a shingle frequent, and the share of a document's hashes in which these are sought.
 HOT, BAND = 24, 0.36
-#: Bits of the maps of frequent shingles and of the sets that must be compared.
-BITS = 1 << 26
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
@@ -47,24 +45,6 @@ def prefix_size(n: np.ndarray | int) -> np.ndarray | int:
     return n - -(-n * PERCENT // 100) + 1
 
 
-def _bitmap(slots: DataFrame) -> np.ndarray:
-    """BITS / 8 bytes with a bit for each value of ``slots`` (slot, from 0)."""
-    rows = (
-        slots.select((F.col("slot") + 1).alias("slot"))  # these functions count from 1
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
-    )
-    table = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)
-    for r in rows:
-        table[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return table.ravel()
-
-
-def _bit(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    slots = slots.astype(np.int64)
-    return table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1
-
-
 def _sum_slots(rows: pd.DataFrame) -> pd.DataFrame:
     slots = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["slots"]])
     counts = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["counts"]])
@@ -95,7 +75,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
             yield _parted(seen, parts)
 
     sums = docs.select("text").mapInArrow(count, "part long, slots binary, counts binary")
-    return _bitmap(sums.groupBy("part").applyInPandas(_sum_slots, "slot long"))
+    return bitmap(sums.groupBy("part").applyInPandas(_sum_slots, "slot long"))
 
 
 def _parted(seen: list[np.ndarray], parts: int) -> pa.RecordBatch:
@@ -106,7 +86,7 @@ def _parted(seen: list[np.ndarray], parts: int) -> pa.RecordBatch:
 
 
 def _sort_keys(held: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    return _bit(rank, held.astype(np.uint32) % np.uint32(BITS))
+    return bit_of(rank, held.astype(np.uint32) % np.uint32(BITS))
 
 
 def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int, rank: np.ndarray) -> bool:
@@ -147,12 +127,12 @@ def _sets(base: DataFrame, pairs: DataFrame) -> DataFrame:
     vain and find no pair.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
-    marks = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot")))
+    marks = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot")))
     wanted = base.sparkSession.sparkContext.broadcast(marks)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_of(batches, 256):
-            part = b.take(pa.array(np.flatnonzero(_bit(wanted.value, b.column("slot").to_numpy()))))
+            part = b.take(pa.array(np.flatnonzero(bit_of(wanted.value, b.column("slot").to_numpy()))))
             held = [shingles(t) for t in part.column("text").to_pylist()]
             keep = [i for i, h in enumerate(held) if len(h)]
             yield pa.record_batch([part.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([held[i].tobytes() for i in keep], pa.binary())], ["rep", "held"])
