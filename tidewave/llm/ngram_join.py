@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewave.llm.common import BITS, batches_of, bit_of, bitmap, stored, words_of
@@ -20,6 +20,10 @@ WORDS = 5
 PERCENT = 75
 #: Documents that make a shingle frequent, and the share of a document's hashes in which these are sought.
 HOT, BAND = 24, 0.36
+#: Second hubs of lists that have the same members.
+HUBS = 8
+#: Pairs of strays and members of a hub from which these are compared in blocks, and rows of a block.
+CROWD, CHUNK = 4_000, 256
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
@@ -85,6 +89,16 @@ def _parted(seen: list[np.ndarray], parts: int) -> pa.RecordBatch:
     return pa.record_batch(columns, ["part", "slots", "counts"])
 
 
+def _veiled(rep: str) -> Column:
+    """``rep`` with some of its bits turned, by its list; the same again gives ``rep``.
+
+    The second hub of a list is the member that comes first so. Lists of the same members thus have HUBS different hubs, and
+    one of them suffices to link a member with the rest.
+    """
+    turned = [int(x) for x in np.random.default_rng(1).integers(0, 1 << 62, HUBS)]
+    return F.col(rep).bitwiseXOR(F.element_at(F.array(*map(F.lit, turned)), (F.pmod("token", F.lit(HUBS)) + 1).cast("int")))
+
+
 def _sort_keys(held: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return bit_of(rank, held.astype(np.uint32) % np.uint32(BITS))
 
@@ -163,12 +177,60 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(meet, "a long, b long, both long, whole long")
 
 
+def _cross(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block of strays with a block of members, as links to the root of what they connect."""
+    held = [np.frombuffer(x, dtype=np.uint64) for x in rows["held"]]
+    left, right = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
+    ids, size = rows["rep"].to_numpy(), np.array([len(h) for h in held])
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+    names = np.intersect1d(np.concatenate([held[i] for i in left]), np.concatenate([held[i] for i in right]))
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
+    for k in range(0, len(names), 16384):  # matrix products over parts of the shingles
+        part = names[k : k + 16384]
+        sides = []
+        for side in (left, right):
+            grid = np.zeros((len(side), len(part)), dtype=np.float32)
+            for row, i in enumerate(side):
+                at = np.searchsorted(part, held[i])
+                at = at[(at < len(part)) & (part[np.minimum(at, len(part) - 1)] == held[i])]
+                grid[row, at] = 1
+            sides.append(grid)
+        both += sides[0] @ sides[1].T
+    near = both * 100 >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
+    low = np.arange(len(rows))
+    while True:
+        new = low.copy()
+        new[left] = np.minimum(low[left], np.where(near, low[right][None, :], len(rows)).min(axis=1))
+        new[right] = np.minimum(new[right], np.where(near, new[left][:, None], len(rows)).min(axis=0))
+        new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    tied = ids != ids[low]
+    return pd.DataFrame({"a": ids[tied], "b": ids[low[tied]]})
+
+
+def _blocks(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what links among the strays and members of each hub's ``crowd``.
+
+    Blocks of at most about CHUNK strays meet blocks of as many members in a task of their own.
+    """
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    roles = [
+        crowd.where("stray = 1").select("hub", "rep", own("across").alias("x"), every("down").alias("y"), F.lit(0).alias("role")),
+        crowd.select("hub", "rep", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
+    ]
+    return roles[0].unionByName(roles[1]).join(sets, "rep").groupBy("hub", "x", "y").applyInPandas(_cross, "a long, b long")
+
+
 def shingle_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: classes linked by Jaccard similarity, found exactly.
 
     Equal sets become one at once. Sets are ordered from rare to frequent shingles and indexed by their prefixes;
-    every member of an index list is compared with the list's hub (its smallest member), which joins groups of
-    near copies in as many comparisons as they have members. What is left are members that don't link with their
+    every member of an index list is compared with the list's hub, its most central member, which joins groups of near copies in about as many
+    comparisons as they have members; members of lists still apart meet a second hub. What is left are members that don't link with their
     hub: they probe the list's blocks, keyed by size class; blocks of sizes that can't link are never met, and
     the position of the shared shingle bounds the overlap. Answers known for the hub carry over to its similar
     sets: a member in the same component needs no comparison, and one whose distance from the hub differs by more
@@ -206,31 +268,68 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
         "classes",
     )
     index = reps.select("rep", "n", F.posexplode("start").alias("pos", "token"))
-    hubs = index.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    lists = stored(index.join(hubs, "token"), "lists")
-
-    pairs = lists.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    counts = index.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stored(index.join(counts, "token"), "shared")
+    # The hub of a list is its most central member: the one whose prefix the most sets share.
+    central = shared.groupBy("rep").agg((F.sum("members") / F.max(F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).alias("fame"))
+    hubs = shared.select("token", "rep").join(central, "rep").groupBy("token").agg(F.max(F.struct("fame", "rep"))["rep"].alias("hub"))
+    lists = stored(shared.join(hubs, "token"), "lists")
+
+    pairs = lists.where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     pairs = stored(_possible(pairs, reps, order), "pairs")
     first = stored(_verified(pairs, _sets(base, pairs)), "compared")
     linked = F.col("both") * 100 >= F.col("whole") * PERCENT
     links = first.where(linked).select("a", "b")
     groups = connected_components(links)
 
+    # Once more with other hubs, for lists whose members are still apart: groups of near copies that don't all
+    # link with one hub grow together here, before anything meets more than a hub.
+    large = lists.where("members > 2").select("token", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("part"))
+    others = (
+        large.groupBy("token").agg(F.min(_veiled("rep")).alias("hub"), F.min("part").alias("low"), F.max("part").alias("high"))
+        .where("low != high").select("token", _veiled("hub").alias("hub"))
+        .join(groups.select(F.col("node").alias("hub"), F.col("component").alias("at")), "hub", "left")
+    )
+    again = (
+        large.join(others, "token").where(F.col("part") != F.coalesce("at", "hub"))
+        .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+        .join(pairs, ["a", "b"], "left_anti")
+    )
+    again = stored(_possible(again, reps, order), "again")
+    if not again.isEmpty():
+        second = stored(_verified(again, _sets(base, again)), "compared")
+        links = links.unionByName(second.where(linked).select("a", "b"))
+        groups = connected_components(links)
+
     # Members of lists with their component, the hub's, and their similarity to the hub where it is known.
-    known = first.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(F.max(F.col("both") / F.col("whole")).alias("near"))
+    ends = [first.select(F.col(x).alias("rep"), F.col(y).alias("hub"), (F.col("both") / F.col("whole")).alias("near")) for x, y in ("ab", "ba")]
+    known = ends[0].unionByName(ends[1]).groupBy("rep", "hub").agg(F.max("near").alias("near"))
     open_lists = (
         lists.where("members > 2 and rep != hub")
         .join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .join(groups.select(F.col("node").alias("hub"), F.col("component").alias("at")), "hub", "left")
         .join(known, ["rep", "hub"], "left")
-        .select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"), F.coalesce("at", "hub").alias("main"),
+        .select("hub", "token", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"), F.coalesce("at", "hub").alias("main"),
                 F.coalesce("near", F.lit(0.0)).alias("near"), F.col("near").isNotNull().alias("sure"))
     )
     # A linking partner is at most 1 / t times as large: the same size class or the next.
     ratio = float(np.log(100 / PERCENT))
     open_lists = stored(open_lists.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")), "members")
-    strays = open_lists.where("part != main").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
-    s, o = strays.alias("s"), open_lists.alias("o")
+    # What gathers around one hub, and is much, is compared in blocks of whole sets; the rest by shared members.
+    around = stored(open_lists.groupBy("hub", "rep").agg(F.max((F.col("part") != F.col("main")).cast("int")).alias("stray")), "around")
+    crowds = (
+        around.groupBy("hub").agg(F.count("*").alias("members"), F.sum("stray").alias("strays"))
+        .where(F.col("members") * F.col("strays") >= CROWD)
+        .select("hub", F.ceil(F.col("strays") / CHUNK).cast("int").alias("across"), F.ceil(F.col("members") / CHUNK).cast("int").alias("down"))
+    )
+    crowd = stored(around.join(crowds, "hub"), "crowd")
+    if not crowd.isEmpty():
+        found = _blocks(crowd, _sets(base, crowd.select(F.col("rep").alias("a"), F.col("hub").alias("b"))))
+        links = stored(links.unionByName(found), "links")
+        groups = connected_components(links)
+    sparse = open_lists.join(crowds.select("hub"), "hub", "left_anti")
+    strays = sparse.where("part != main").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
+    s, o = strays.alias("s"), sparse.alias("o")
     need = F.ceil((F.col("s.n") + F.col("o.n")) * (PERCENT / (100.0 + PERCENT)) - 1e-6)
     bound = 1 + F.least(F.col("s.n") - F.col("s.pos"), F.col("o.n") - F.col("o.pos")) - 1
     apart = F.abs(F.col("s.near") - F.col("o.near")) > 1 - PERCENT / 100 + 1e-9
