@@ -116,8 +116,11 @@ def test_op1_odd_rows(odd, empty):
     assert ngram_join.shingle_classes(empty).count() == 0
 
 
-def test_op2_tells_toxic_documents(spark, odd, empty, docs, labels):
-    found = toxicity.toxicity(docs, labels, F.lit(True)).join(labels, "doc_id").collect()
+def test_op2_tells_toxic_documents(spark, odd, empty, labels):
+    """Held-out labels; sf0.01 marks 17 toxic documents without a seed word in three languages, too few to learn from."""
+    docs, marks = (spark.read.parquet(f"{SF.replace('0.01', '0.1')}/{name}.parquet") for name in ("documents", "labels"))
+    held = marks.where(fold_of("doc_id", 3) == 1)
+    found = toxicity.toxicity(docs, marks, fold_of("doc_id", 3) != 1).join(held, "doc_id").collect()
     toxic = [r["score"] for r in found if r["toxic"]]
     clean = [r["score"] for r in found if not r["toxic"]]
     assert np.mean([s >= 0.7 for s in clean]) < 0.02
