@@ -159,6 +159,15 @@ def test_op3_base_score_and_probabilities(spark, odd, empty, docs):
     assert lm_score.lm_scores(empty, F.lit(True)).count() == 0
 
 
+def test_op3_rare_words_are_joined(spark, docs, monkeypatch):
+    some, columns = docs.where("doc_id < 150"), ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score"]
+    run = lambda: {r[0]: tuple(r) for r in lm_score.lm_scores(some, F.lit(True)).select(*columns).collect()}
+    whole = run()
+    monkeypatch.setattr(lm_score, "BROADCAST_WORDS", 700)
+    cut = run()
+    assert all(cut[i] == pytest.approx(whole[i]) for i in whole) and len(cut) == len(whole)
+
+
 def test_op3_contexts_are_normalised():
     rng = np.random.default_rng(1)
     p = lm_score.train(rng.integers(0, lm_score.CONTEXT**2 * lm_score.UNITS, 500), rng.integers(1, 9, 500).astype(float))

@@ -135,6 +135,25 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """Words by falling count: all from the least count class on with which they are BROADCAST_WORDS at most.
+
+    Sizes of count classes tell where to cut, so that no task sends the driver more than its part of these words;
+    a sort with a limit would get that many from each.
+    """
+    level = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    least, held = None, 0
+    for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():  # 1024 rows at most
+        held += r["words"]
+        if held > BROADCAST_WORDS:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    found = counts.where(level >= least).select("word", "n").collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in found), key=lambda r: (-r[1], r[0]))
+
+
 def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     """Score every text by a log-bilinear language model learnt from the rows where ``learn`` holds.
 
@@ -158,10 +177,11 @@ def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     ends = taught.count()
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = total + ends, kinds + (ends > 0)
-    frequent = [(bytes(r["word"]), r["n"]) for r in counts.select("word", "n").orderBy(F.desc("n"), "word").limit(BROADCAST_WORDS).collect()]
+    frequent = _frequent(counts)
     # Words that are units of their own have no part in the classes.
     lone = {w for w, _ in frequent[: WORDS - 1]}
-    by_end = {bytes(r["ending"]): [r["n"], r["v"]] for r in counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).orderBy(F.desc("n"), "ending").limit(8192).collect()}
+    # An ending is two bytes or one: 65792 rows at most.
+    by_end = {bytes(r["ending"]): [r["n"], r["v"]] for r in counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     for w, n in frequent:
         if w in lone:
             by_end[w[-2:]][0] -= n
