@@ -117,7 +117,7 @@ def test_op1_odd_rows(odd, empty):
 
 
 def test_op2_tells_toxic_documents(spark, odd, empty, labels):
-    """Held-out labels; sf0.01 marks 17 toxic documents without a seed word in three languages, too few to learn from."""
+    """Held-out labels; 18 of the 51 toxic documents of sf0.01 hold no seed word, too few to learn others from."""
     docs, marks = (spark.read.parquet(f"{SF.replace('0.01', '0.1')}/{name}.parquet") for name in ("documents", "labels"))
     held = marks.where(fold_of("doc_id", 3) == 1)
     found = toxicity.toxicity(docs, marks, fold_of("doc_id", 3) != 1).join(held, "doc_id").collect()
