@@ -78,6 +78,15 @@ def grid_left_join(spark: SparkSession, sf: str) -> DataFrame:
     return grid.join(cells(spark, sf).select(F.col("x").alias("gx"), F.col("y").alias("gy"), "v"), ["gx", "gy"], "left")
 
 
+@query(_CELL + """, height as (select max(y) as top from cell) select g.gx, g.gy, c.v from (select a.gx, unnest(range(0, top + 1)) as gy from (select unnest(range(0, 50)) as gx) a, height) g left join cell c on c.x = g.gx and c.y = g.gy""")
+def grid_left_join_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The dense grid as high as the cells reach, so that every cell is in it; ``grid_left_join`` is the window of five rows that its SQL fixes."""
+    c = cells(spark, sf)
+    top = c.agg(F.max("y")).first()[0]  # one row
+    grid = spark.range(0 if top is None else 50 * (top + 1)).select((F.col("id") % 50).alias("gx"), F.expr("id div 50").alias("gy"))
+    return grid.join(c.select(F.col("x").alias("gx"), F.col("y").alias("gy"), "v"), ["gx", "gy"], "left")
+
+
 @query(_CELL + "select distinct x // 4 as lane, y from cell where (x between 3 and 12 and y between 0 and 2) or (x between 40 and 44 and y = 3)")
 def roi_rect(spark: SparkSession, sf: str) -> DataFrame:
     """Lanes that a rectangle touches, each once."""
