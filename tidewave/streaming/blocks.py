@@ -34,20 +34,37 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over what there is, into a table in the shared folder, and read that."""
+    """Run a stream over what there is, into a table in the shared folder, and read that.
+
+    In complete mode every micro-batch replaces the table, so that after the last one it has all windows, open ones too.
+    """
     spark = stream.sparkSession
     at = _folder(spark)
-    q = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
+    if mode == "complete":
+        w = w.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{at}/rows"))
+    else:
+        w = w.format("parquet").option("path", f"{at}/rows")
+    w.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/rows")
 
 
+def day_counts(events: DataFrame) -> DataFrame:
+    """Counts of days and kinds of a table or a stream of events."""
+    counts = events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 day"), "event_type").agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").alias("day"), "event_type", "n")
+
+
+def sessions(events: DataFrame) -> DataFrame:
+    """Sessions of each key of a table or a stream of events, 12 hours apart at most."""
+    s = events.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.session_window("ts", "12 hours"), "user_id").agg(F.count("*").alias("n"))
+    return s.select(F.col("session_window.start").alias("begin"), F.col("session_window.end").alias("finish"), F.col("user_id").alias("zmw"), "n")
+
+
 @query
 def stream_mb_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of days and kinds; a day closes once the watermark has passed it."""
-    e = event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
-    counts = e.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"))
-    return drain(counts.select(F.col("window.start").alias("day"), "event_type", "n"))
+    """Counts of days and kinds, with the days still open at the end of the input. Any lateness is allowed: no row is dropped."""
+    return drain(day_counts(event_stream(spark, sf)), "complete")
 
 
 class Blocks(StatefulProcessor):
@@ -90,7 +107,8 @@ def stream_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_lookback(spark: SparkSession, sf: str) -> DataFrame:
-    """Sessions of a key's events, half a day apart at most: the look-back from one start to the next."""
-    e = event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
-    s = e.groupBy(F.session_window("ts", "12 hours"), "user_id").agg(F.count("*").alias("n"))
-    return drain(s.select(F.col("session_window.start").alias("begin"), F.col("session_window.end").alias("finish"), F.col("user_id").alias("zmw"), "n"))
+    """Sessions of a key's events, half a day apart at most: the look-back from one start to the next.
+
+    Sessions still open at the end of the input are there too. Any lateness is allowed: a late row extends or joins sessions.
+    """
+    return drain(sessions(event_stream(spark, sf)), "complete")
