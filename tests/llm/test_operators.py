@@ -286,6 +286,23 @@ def test_op8_rules_and_aliases(spark):
     assert url_filter.url_verdicts(df.limit(0)).count() == 0
 
 
+def test_op8_every_link_of_a_page_is_an_edge(spark):
+    both = '<link rel="canonical" href="http://plain.io/"><meta http-equiv="refresh" content="0; url={}"> <link rel=canonical href=second.html>'
+    rows = [
+        (1, "http://a.com/en/x/y.html", both.format("next.html")), (2, "http://a.com/en/x/next.html", None), (3, "http://plain.io/", None), (4, "http://a.com/en/x/second.html", None),
+        (5, "http://q.io/d/e/f", both.format("../../g/./h?a=1&amp;b=2")), (6, "http://q.io/g/h?a=1&b=2", None), (7, "http://q.io/d/e/second.html", None),
+        (8, "http://r.io/p?id=1", '<base href="/sub/"><meta http-equiv=refresh content="1;url=?id=3">'), (9, "http://r.io/sub/?id=3", None), (10, "http://s.io", '<link rel="canonical" href="mailto:x@y.z">'),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    links = {(r["source"], r["target"]) for r in url_filter._link_rows(pages).collect()}
+    assert links == {
+        (rows[0][1], rows[2][1]), (rows[0][1], rows[1][1]), (rows[0][1], rows[3][1]), (rows[4][1], rows[2][1]), (rows[4][1], rows[5][1]), (rows[4][1], rows[6][1]),
+        (rows[7][1], rows[8][1]), (rows[9][1], None),
+    }
+    found = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(pages).collect()}
+    assert found == {k: "block" for k in range(1, 8)} | {8: "allow", 9: "allow", 10: "allow"}
+
+
 def test_op9_held_out_accuracy(odd, empty, docs):
     learn = fold_of("doc_id", 4) != 2
     found = language_id.languages(docs, learn, ["doc_id", "lang"]).where(~learn).collect()

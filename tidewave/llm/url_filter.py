@@ -19,6 +19,7 @@ RULES = [
 
 _CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+_BASE = r"(?is)<base\b[^>]*\bhref\b[^>]*>"
 
 
 def host_of(url: Column) -> Column:
@@ -35,15 +36,36 @@ def address_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), path_of(url), query))
 
 
-def _target(html: Column, page: Column) -> Column:
-    """The page's canonical link, else its refresh target, made absolute; null if there is none."""
-    link = F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    hop = F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    to = F.when(link != "", link).when(hop != "", hop)
+def _resolved(to: Column, base: Column) -> Column:
+    """``to`` made absolute as seen from the url ``base`` (RFC 3986); null for '', a fragment or another scheme such as mailto."""
+    path = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
+    folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
+    steps = F.split(F.regexp_replace(F.when(path.startswith("/"), path).otherwise(F.concat(folder, path)), "^/", ""), "/")
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(s == ".", a).otherwise(F.array_append(a, s)),
+    )
+    kept = F.when(F.element_at(steps, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    rest = F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1)
     return (
         F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), to)
         .when(to.startswith("//"), F.concat(F.lit("http:"), to))
-        .when(to.startswith("/"), F.concat(F.lit("http://"), host_of(page), to))
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (to == "") | to.startswith("#"), F.lit(None))
+        .when(to.startswith("?"), F.concat(F.lit("http://"), host_of(base), path_of(base), to))
+        .otherwise(F.concat(F.lit("http://"), host_of(base), F.lit("/"), F.array_join(kept, "/"), rest))
+    )
+
+
+def _link_rows(pages: DataFrame) -> DataFrame:
+    """(source, target): a row for every canonical link and every refresh of a page, absolute and with &amp; decoded."""
+    plain = lambda c: F.regexp_replace(c, "(?i)&(?:amp|#38|#x26);", "&")
+    href = lambda tag: plain(F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    hop = lambda tag: plain(F.regexp_extract(tag, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    tags = lambda kind: F.regexp_extract_all("html", F.lit(kind), F.lit(0))
+    return (
+        pages.select("url", F.explode(F.concat(F.transform(tags(_CANONICAL), href), F.transform(tags(_REFRESH), hop))).alias("to"), href(F.regexp_extract("html", _BASE, 0)).alias("base"))
+        .withColumn("base", F.coalesce(_resolved(F.col("base"), F.col("url")), "url"))
+        .select(F.col("url").alias("source"), _resolved(F.col("to"), F.col("base")).alias("target"))
     )
 
 
@@ -62,7 +84,7 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """Judge every page by the longest rule that fits its url, else by what its aliases are judged.
 
-    Aliases: addresses joined by canonical links, refreshes in the html, and rows of ``redirects`` (source, target
+    Aliases: addresses joined by every canonical link and every refresh in the html, and by rows of ``redirects`` (source, target
     urls). Their connected components pass decisions on: one explicit allow in a component lets its unruled pages
     pass; else one block blocks them; else they pass. Columns: page_id, host, path, rule, verdict, component
     (null for a page without aliases). Null or host-less urls have host and path '' and no aliases, and are
@@ -75,7 +97,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, re
         .select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.action").alias("action"),
                 F.xxhash64(address_of(F.col("url"))).alias("node"), address_of(F.col("url")).isNotNull().alias("addressed"))
     )
-    urls = pages.select(F.col("url").alias("source"), _target(F.col("html"), F.col("url")).alias("target"))
+    urls = _link_rows(pages)
     if redirects is not None:
         urls = urls.unionByName(redirects.select("source", "target"))
     ends = urls.select(address_of(F.col("source")).alias("x"), address_of(F.col("target")).alias("y")).where("x is not null and y is not null")
