@@ -333,6 +333,32 @@ def test_op10_finds_edited_copies(spark, odd, empty):
     assert decontaminate.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_op10_short_items_equal_alignment_of_all_pairs(spark):
+    """Items of 3 to 20 words, with words replaced, put in between and left out around COPY."""
+    rng = np.random.default_rng(7)
+    items = [(k, [f"t{x}" for x in rng.integers(0, 200, n)]) for k, n in enumerate([*range(3, 21), *range(12, 21)])]
+    docs = []
+    for i in range(400):
+        words = list(items[i % len(items)][1])
+        n, how = len(words), i % 4
+        for at in sorted(rng.choice(n, min(n, n // 3 + rng.integers(0, 3)), False), reverse=True):
+            if how == 0 or (how == 3 and rng.random() < 0.5):
+                words[at] = f"x{rng.integers(0, 99)}"
+            elif how == 1:
+                words.insert(at, f"t{rng.integers(0, 200)}")
+            else:
+                del words[at]
+        docs.append((i, [f"t{x}" for x in rng.integers(0, 200, 15)] + words + [f"t{x}" for x in rng.integers(0, 200, 15)]))
+    evenly = [w if k % 3 else f"y{k}" for k, w in enumerate(items[11][1])]
+    docs += [(900, evenly), (901, [x for w in items[10][1] for x in (w, "between")])]
+    number = {}
+    ids = lambda words: np.array([number.setdefault(w, len(number)) for w in words])
+    want = {(d, k): s for d, text in docs for k, words in items if (s := decontaminate.align(ids(words), ids(text))[0] / (2 * len(words))) >= decontaminate.COPY}
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(*frames).collect()}
+    assert found == want and {(900, 11), (901, 10)} <= set(want)
+
+
 def test_op10_alignment_equals_plain_version():
     rng = np.random.default_rng(6)
     for _ in range(50):

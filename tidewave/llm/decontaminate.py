@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: rare pairs of words as seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 
 from tidewave.llm.common import batches_of
 
-#: Words in a seed; chance of a seed at a place above which it is common; share of an item's seeds kept at least.
-SEED, COMMON, LEAST_SHARE = 3, 1e-7, 0.5
 #: Alignment scores of words, and the share of an item's perfect score that makes a copy.
 MATCH, MISMATCH, GAP, COPY = 2.0, -1.0, -1.0, 0.5
 #: Items sent to the executors at once, and their words; a larger benchmark is scanned in blocks of this size.
 BLOCK_ITEMS, BLOCK_WORDS = 20_000, 2_000_000
 
 _MARKS = bytes.maketrans(bytes(i for i in range(33, 127) if not chr(i).isalnum()), b" " * sum(not chr(i).isalnum() for i in range(33, 127)))
-_K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+_K = np.uint64(0x9E3779B97F4A7C15)
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -27,20 +25,6 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_MARKS).split() if text else []
 
 
-def codes(ids: np.ndarray, size: int) -> np.ndarray:
-    """A code for each run of ``size`` word numbers; 0 where a word is unknown (-1)."""
-    n = len(ids) - size + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    total, known = np.full(n, size, dtype=np.uint64), np.ones(n, dtype=bool)
-    for k in range(size):
-        part = ids[k : k + n]
-        known &= part >= 0
-        total = (total ^ (part.astype(np.uint64) + np.uint64(1))) * _K[k % 3]
-        total ^= total >> np.uint64(29)
-    return np.where(known, total | np.uint64(1), np.uint64(0))
-
-
 def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
     """Smith-Waterman with linear gaps: best local score, and where in ``window`` it begins and ends."""
     width = len(window)
@@ -67,70 +51,120 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
+def least_seeds(words: int, least: float) -> int:
+    """Places of an item of so many words that every alignment of ``least`` of its perfect score shares with the text.
+
+    A place is shared if its word and one of the next two of the item are a word and one of its next two of the text.
+    With m matches and e errors the score is at least 2m - e >= S = 2 * least * words; of the m - 1 steps from match to
+    match, those with one error at most share a place, and the others, with two errors or more, are m - S / 2 at most.
+    """
+    return max(1, int(np.ceil(least * words - 1 - 1e-9)))
+
+
 class Index:
-    """Seeds of a block of items: sorted codes, and the items and places that each belongs to."""
+    """Seeds of a block of items: sorted codes of word pairs, and the items that each belongs to.
+
+    Of the places of an item the commonest are left out, as many as leave every copy ``least_hits`` others.
+    """
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], vocabulary: dict[bytes, int], seen: np.ndarray, total: int):
-        self.vocabulary = vocabulary
+    def __init__(self, items: list[tuple[int, list[bytes]]], vocabulary: dict[bytes, int], seen: np.ndarray, total: int, least: float):
+        self.vocabulary, self.least = vocabulary, least
         self.ids = [i for i, _ in items]
         self.words = [np.array([vocabulary[w] for w in words], dtype=np.int64) for _, words in items]
-        rows = []
+        self.pairs = [self.codes(ids)[1] for ids in self.words]
+        lengths = np.array([len(ids) for ids in self.words])
+        self.need = np.array([least_seeds(n, least) for n in lengths])
+        self.least_hits = -(-self.need // 2)
+        #: Words of a text that an alignment reaches over at most: m + e <= 3 * words - S.
+        self.span = np.ceil(lengths * max(1.0, 3 - 2 * least)).astype(np.int64)
+        self.single = bool((lengths == 1).any())
         share = (seen + 1.0) / (total + len(seen) + 1.0)
+        code, item = [], []
         for k, ids in enumerate(self.words):
-            size = min(SEED, len(ids))
-            held = codes(ids, size)
-            chance = np.array([np.log(share[ids[p : p + size]]).sum() for p in range(len(held))])
-            rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
-            keep = (chance <= np.log(COMMON)) | (rank < max(1, np.ceil(LEAST_SHARE * len(held))))
-            rows += [(int(held[p]), k, p, size) for p in np.flatnonzero(keep)]
-        self.sizes = sorted({r[3] for r in rows})
-        self.tables = {}
-        for size in self.sizes:
-            own = sorted(r for r in rows if r[3] == size)
-            self.tables[size] = tuple(np.array([r[j] for r in own], dtype=np.uint64 if j == 0 else np.int64) for j in range(3))
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in the text, place in the item) of every seed that the text holds."""
-        found = [(np.zeros(0, dtype=np.int64),) * 3]
-        for size, (code, item, place) in self.tables.items():
-            held = codes(ids, size)
-            low = np.searchsorted(code, held)
-            at = np.flatnonzero((held > 0) & (code[np.minimum(low, len(code) - 1)] == held))
-            if len(at):
-                count = np.searchsorted(code, held[at], side="right") - low[at]
-                own = np.repeat(low[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                found.append((item[own], np.repeat(at, count), place[own]))
+            s = np.concatenate([share[ids], [0.0, 0.0]])
+            chance = s[:-2] * (s[1:-1] + s[2:])
+            places = max(1, len(ids) - 1)
+            rarest = np.argsort(chance[:places], kind="stable")[: places - (self.need[k] - self.least_hits[k])]
+            at, own = self.codes(ids)
+            own = np.unique(own[np.isin(at, rarest)])
+            code.append(own)
+            item.append(np.full(len(own), k))
+        code, item = np.concatenate(code), np.concatenate(item)
+        order = np.argsort(code, kind="stable")
+        self.code, self.item = code[order], item[order]
+        self.bits = min(28, 5 + max(11, len(code).bit_length()))
+        self.sieve = np.zeros(1 << self.bits, dtype=bool)
+        self.sieve[self.slots(self.code)] = True
+
+    def slots(self, code: np.ndarray) -> np.ndarray:
+        return (code.astype(np.uint64) * _K) >> np.uint64(64 - self.bits)
+
+    def codes(self, ids: np.ndarray, single: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and the codes of their word with each of the next two; unknown words (-1) have none. An item of one word is that word."""
+        width, found = len(self.vocabulary), []
+        for d in (1, 2):
+            at = np.flatnonzero((ids[:-d] >= 0) & (ids[d:] >= 0))
+            found.append((at, ids[at] * width + ids[at + d]))
+        if single or len(ids) == 1:
+            at = np.flatnonzero(ids >= 0)
+            found.append((at, ids[at] + width * width))
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def matches(self, ids: np.ndarray, least: float) -> Iterator[tuple[int, float, int, int, int]]:
-        """(item, share of its perfect score, begin, end, seeds) of the best alignment with each item that is copied."""
-        item, at, place = self.hits(ids)
-        for k in np.unique(item):
-            words = self.words[k]
-            mine = item == k
-            line = np.sort(at[mine] - place[mine])
-            margin = 2 + len(words) // 2
-            parts = np.split(line, np.flatnonzero(np.diff(line) > len(words) + 2 * margin) + 1)
-            best = (0.0, 0, 0, 0)
-            for part in parts:
-                if len(part) < 2 and len(words) >= 4 * SEED:
-                    continue  # one shared seed of a long item: the rest differs, so that it can't reach COPY
-                begin, end = max(0, part[0] - margin), min(len(ids), part[-1] + len(words) + margin)
-                score, x, y = align(words, ids[begin:end])
-                if score > best[0]:
-                    best = (score, begin + x, begin + y, len(part))
-            if best[0] >= least * MATCH * len(words):
-                yield k, best[0] / (MATCH * len(words)), int(best[1]), int(best[2]), best[3]
+    def windows(self, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, begin, end) of every part of a text that shares enough places with an item.
+
+        ``ids`` are the words of texts with two -1 behind each, and ``starts`` where each begins, and the end.
+        """
+        at, code = self.codes(ids, self.single)
+        some = np.flatnonzero(self.sieve[self.slots(code)])
+        at, code = at[some], code[some]
+        low = np.searchsorted(self.code, code)
+        count = np.searchsorted(self.code, code, side="right") - low
+        own = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        seeds = np.unique(self.item[own] * len(ids) + np.repeat(at, count))
+        item, at = seeds // max(1, len(ids)), seeds % max(1, len(ids))
+        text = np.searchsorted(starts, at, side="right") - 1
+        last = np.arange(len(at)) + self.least_hits[item] - 1
+        first = np.flatnonzero(last < len(at))
+        last = last[first]
+        close = (item[first] == item[last]) & (text[first] == text[last]) & (at[last] - at[first] < self.span[item[first]])
+        first, last = first[close], last[close]
+        item, text = item[first], text[first]
+        begin = np.maximum(starts[text], at[last] - self.span[item])
+        end = np.minimum(starts[text + 1] - 2, at[first] + self.span[item] + 2)
+        if len(first):  # windows of one item in one text that meet become one
+            new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (begin[1:] > end[:-1])]))
+            yield from zip(text[new].tolist(), item[new].tolist(), begin[new].tolist(), np.append(end[new[1:] - 1], end[-1]).tolist())
+
+    def matches(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """(text, item, share of its perfect score, begin, end, seeds) of the best alignment with each item that is copied."""
+        gap = np.full(2, -1, dtype=np.int64)
+        ids = np.concatenate([x for t in texts for x in (t, gap)])
+        starts = np.concatenate([[0], np.cumsum([len(t) + 2 for t in texts])])
+        found: dict[tuple[int, int], tuple[float, int, int, int]] = {}
+        for text, k, begin, end in self.windows(ids, starts):
+            window, words = ids[begin:end], self.words[k]
+            at, code = self.codes(window, len(words) == 1)
+            seeds = len(np.unique(at[np.isin(code, self.pairs[k])]))
+            if seeds < self.need[k]:
+                continue
+            score, x, y = align(words, window)
+            if score >= self.least * MATCH * len(words) and score > found.get((text, k), (0.0,))[0]:
+                found[text, k] = (score, begin + x - starts[text], begin + y - starts[text], seeds)
+        for (text, k), (score, x, y, seeds) in found.items():
+            yield text, k, score / (MATCH * len(self.words[k])), int(x), int(y), seeds
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = COPY) -> DataFrame:
     """(doc_id, item_id, score, begin_word, end_word, seeds) for every text that holds a copy of a benchmark item.
 
-    Seeds are runs of SEED words of an item whose words' frequencies over all texts make them unlikely at any one
-    place (COMMON), or its rarest LEAST_SHARE. Frequencies of words, not of the runs, decide, so that a passage
-    that has been copied a thousand times still has its seeds. Where a text holds seeds of an item, Smith-Waterman
-    aligns the words around them with the whole item, and ``score`` is the share of the item's perfect score, 1
-    for a verbatim copy; rows with ``least`` or more are returned. Words of copies may differ in case and marks.
+    Seeds are pairs of words of an item that stand beside each other or one apart, in the item and in the text; every
+    alignment of ``least`` shares ``least_seeds`` of them, so that no copy of an item of three words or more is lost. The
+    rarest are looked for first: frequencies of words, not of the pairs, rank them, so that a passage that has been copied
+    a thousand times still has its seeds. Where a text holds enough, Smith-Waterman aligns the words around them with the
+    whole item, and ``score`` is the share of the item's perfect score, 1 for a verbatim copy; rows with ``least`` or more
+    are returned, with the seeds in the part that was aligned. Words of copies may differ in case and marks. An item of two
+    words must share both, with one word between them at most.
 
     The benchmark goes to the executors in blocks of BLOCK_ITEMS items and BLOCK_WORDS words, and all texts are
     scanned once for each block; nothing is shuffled but counts. Null or wordless texts and items match nothing;
@@ -173,16 +207,15 @@ def _scan(docs: DataFrame, part: list[tuple[int, list[bytes]]], least: float, sh
     seen = np.zeros(len(vocabulary) + 1, dtype=np.int64)
     for r in rows:
         seen[r["word"]] = r["n"]
-    index = spark.sparkContext.broadcast(Index(part, vocabulary, seen[:-1], int(seen.sum())))
+    index = spark.sparkContext.broadcast(Index(part, vocabulary, seen[:-1], int(seen.sum()), least))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = index.value
         get = held.vocabulary.get
         for b in batches_of(batches, 256):
-            out = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = np.array([get(w, -1) for w in plain_words(text)], dtype=np.int64)
-                out += [(doc, held.ids[k], *rest) for k, *rest in held.matches(ids, least)]
+            docs_of = b.column("doc_id").to_pylist()
+            texts = [np.array([get(w, -1) for w in plain_words(text)], dtype=np.int64) for text in b.column("text").to_pylist()]
+            out = [(docs_of[i], held.ids[k], *rest) for i, k, *rest in held.matches(texts)] if texts else []
             columns = list(zip(*out)) if out else [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "score", "begin_word", "end_word", "seeds"])
