@@ -251,6 +251,23 @@ def test_op6_notices_and_directories(spark, empty):
     assert license_scan.license_scan(none).count() == 0
 
 
+def test_op6_licence_texts_spdx_lines_and_wrapped_notices(spark):
+    texts = dict(license_scan.license_texts())
+    deep = "/".join("abcdefghijklmnopqrst")
+    commented = "\n".join("# " + line for line in texts["BSD-3-Clause"].split("\n"))
+    rows = [(k, f"{n}/LICENSE", "Copyright (c) 2020 Some One\n\n" + t) for k, (n, t) in enumerate(sorted(texts.items()))]
+    rows += [(100 + k, f"{n}/{deep}/x.py", "print(1)") for k, (_, path, _) in enumerate(rows) for n in [path.split("/")[0]]]
+    rows += [
+        (200, "s/a.py", "# SPDX-License-Identifier: Apache-2.0\n" + "code here\n" * 50), (201, "s/b.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;"),
+        (202, "s/c.py", "x = 1\n# This work is licensed under the GNU\n# General Public License,\n# version 3.\n" + "y = 2\n" * 40), (203, "s/d.py", commented + "\n" + "".join(f"v{i} = f{i}\n" for i in range(400))), (204, "s/e.py", "print(1)"),
+    ]
+    found = {r["file_id"]: (r["license"], r["origin"]) for r in license_scan.license_scan(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    names = sorted(texts)
+    want = {k: (n, "notice") for k, n in enumerate(names)} | {100 + k: (n, "inherited") for k, n in enumerate(names)}
+    want |= {200: ("Apache-2.0", "notice"), 201: ("GPL-2.0", "notice"), 202: ("GPL-3.0", "notice"), 203: ("BSD-3-Clause", "notice")}
+    assert {k: found[k] for k in want} == want
+
+
 def test_op7_held_out_accuracy(odd, empty, docs, labels):
     found = line_crf.quality(docs, labels, fold_of("doc_id", 5) != 0).join(labels, "doc_id").where(fold_of("doc_id", 5) == 0).collect()
     assert np.mean([(r["score"] >= 0.3) == (r["quality"] == 1) for r in found]) > 0.9
