@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewave.llm.common import Adam, batches_of, class_share, labelled_sample, sigmoid
+from tidewave.llm.common import Adam, batches_of, class_share, labelled_sample, sigmoid, stored
 
-#: Labelled documents in the fit, half of each class; of a longer one FIT_LINES lines in a row.
-FIT_ROWS, FIT_LINES, STEPS, BATCH = 3000, 48, 500, 128
+#: Labelled documents in the fit, half of each class, and lines that they hold in all. Whole documents are taken by the
+#: hash of their ids while they fit into the lines.
+FIT_ROWS, FIT_LINES = 3000, 400_000
+#: Steps of the fit, documents in a step, and lines in a row that a step reads of each, from any place in it.
+STEPS, BATCH, RUN = 500, 128, 48
 OWN = 15  # features of a line itself
 WIDE = 2 * OWN * 3 + 3
 
@@ -30,7 +33,7 @@ _MIX = (np.random.default_rng(3).integers(1, 1 << 62, 64, dtype=np.uint64) << np
 
 
 def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of every line that is not blank, its document, and its bytes; a text without any has one blank line."""
+    """Own features of every line that is not blank, its document, and its bytes; a text without any has one blank line."""
     raw = [((t or "").encode("utf-8", "surrogatepass") + b"\n") for t in texts]
     flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
     kinds = _KINDS[flat]
@@ -76,16 +79,29 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     bare = np.setdiff1d(np.arange(len(texts)), doc[keep])
     if len(bare):  # their blank lines stand for them
         keep[np.searchsorted(doc, bare)] = True
-    own, doc, size = own[keep], doc[keep], np.maximum(size[keep], 1)
-    both = np.concatenate([own, np.sqrt(own)], axis=1)
-    same = (doc[1:] == doc[:-1])[:, None]
-    before, after = np.zeros_like(both), np.zeros_like(both)
-    before[1:] = both[:-1] * same
-    after[:-1] = both[1:] * same
-    edge = np.ones((len(doc), 3))
-    edge[1:, 0] = ~same[:, 0]
-    edge[:-1, 1] = ~same[:, 0]
-    return np.concatenate([both, before, after, edge], axis=1), doc, size
+    return own[keep].astype(np.float32), doc[keep], np.maximum(size[keep], 1)
+
+
+def edges(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line is the first, and the last, of its document."""
+    new = np.flatnonzero(doc[1:] != doc[:-1])
+    first, last = np.zeros(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
+    first[new + 1] = last[new] = True
+    first[:1] = last[-1:] = True
+    return first, last
+
+
+def wide(own: np.ndarray, first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """All features of the lines ``at``: their own and both neighbours', with the roots of these, and where a document ends."""
+    sides = [own[at], own[at - 1] * ~first[at][..., None], own[np.minimum(at + 1, len(own) - 1)] * ~last[at][..., None]]
+    edge = np.stack([first[at], last[at], np.ones(at.shape)], axis=-1)
+    return np.concatenate([x for side in sides for x in (side, np.sqrt(side))] + [edge], axis=-1)
+
+
+def unary_scores(own: np.ndarray, doc: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``wide`` of every line times ``w``, some lines at a time."""
+    first, last = edges(doc)
+    return np.concatenate([wide(own, first, last, np.arange(k, min(k + 8192, len(doc)))) @ w for k in range(0, len(doc), 8192)] or [np.zeros(0)])
 
 
 def _tables(unary: np.ndarray, p: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +149,9 @@ def grouped(doc: np.ndarray, most: int = 64) -> Iterator[tuple[np.ndarray, np.nd
         at = to
 
 
-def document_means(x: np.ndarray, doc: np.ndarray, size: np.ndarray, p: dict, docs: int) -> np.ndarray:
+def document_means(own: np.ndarray, doc: np.ndarray, size: np.ndarray, p: dict, docs: int) -> np.ndarray:
     """Mean P(good) over the lines of each document, weighted by their bytes."""
-    unary = x @ p["w"]
+    unary = unary_scores(own, doc, p["w"])
     out = np.full(docs, 0.5)
     for who, counts, grid in grouped(doc):
         good, _ = marginals(unary[grid], counts, p)
@@ -149,24 +165,29 @@ def logit(m: np.ndarray) -> np.ndarray:
     return np.log(m / (1 - m))
 
 
-def fit(texts: list[str | None], labels: np.ndarray, share: float) -> dict:
-    """Train the field on lines that bear their document's label; then map means to probabilities of label 1."""
+def fit(own: np.ndarray, doc: np.ndarray, size: np.ndarray, labels: np.ndarray, share: float) -> dict:
+    """Train the field on lines that bear their document's label; then map means to probabilities of label 1.
+
+    ``own``, ``doc`` and ``size`` are what ``line_features`` gives; a step works on RUN lines of BATCH documents at most.
+    """
     rng = np.random.default_rng(5)
     p = {"w": np.zeros(WIDE), "step": np.zeros((2, 2)), "start": np.zeros(2), "map": np.array([1.0, 0.0])}
-    if not texts:
+    docs = len(labels)
+    if not docs:
         return p
-    x, doc, size = line_features(texts)
-    first = np.searchsorted(doc, np.arange(len(texts)))
+    head, tail = edges(doc)
+    first = np.searchsorted(doc, np.arange(docs))
     count = np.diff(np.append(first, len(doc)))
     weigh = np.where(labels == 1, share / max(labels.mean(), 1e-9), (1 - share) / max(1 - labels.mean(), 1e-9))
     adam = Adam({k: p[k] for k in ("w", "step", "start")}, 0.05)
     for turn in range(STEPS):
-        pick = rng.integers(0, len(texts), min(BATCH, len(texts)))
-        n = np.minimum(count[pick], FIT_LINES)
+        pick = rng.integers(0, docs, min(BATCH, docs))
+        n = np.minimum(count[pick], RUN)
         begin = first[pick] + rng.integers(0, count[pick] - n + 1)
         grid = begin[:, None] + np.minimum(np.arange(n.max())[None, :], n[:, None] - 1)
         live = np.arange(n.max())[None, :] < n[:, None]
-        good, pair = marginals(x[grid] @ p["w"], n, p)
+        x = wide(own, head, tail, grid)
+        good, pair = marginals(x @ p["w"], n, p)
         y = labels[pick].astype(float)
         # Long documents count by the root of their lines, so that they don't drown the others.
         w = (1 / np.sqrt(n))[:, None] * live
@@ -176,11 +197,11 @@ def fit(texts: list[str | None], labels: np.ndarray, share: float) -> dict:
         scale = len(pick)
         start = np.stack([(y == 1) - good[:, 0], good[:, 0] - (y == 1)], axis=1).sum(axis=0) / scale
         adam.update({
-            "w": np.einsum("nt,ntf->f", error, x[grid]) / scale + 1e-4 * p["w"],
+            "w": np.tensordot(error, x, 2) / scale + 1e-4 * p["w"],
             "step": (pair - seen) / max(1, (n - 1).sum()) + 1e-3 * p["step"],
             "start": start + 1e-3 * p["start"],
         }, 0.1 ** (turn / STEPS))
-    z = logit(document_means(x, doc, size, p, len(texts)))
+    z = logit(document_means(own, doc, size, p, docs))
     a, b = 1.0, 0.0
     for _ in range(30):  # Newton steps of a logistic regression on one input, with the classes at their true share
         q = sigmoid(a * z + b)
@@ -197,15 +218,18 @@ def quality(docs: DataFrame, labels: DataFrame, keep, carry: list[str] | None =
     """(doc_id, score) of every row: the probability that its text is of good quality; ``carry`` names the columns to return with it.
 
     A linear-chain conditional random field with states bad and good reads every non-blank line by its features
-    and its neighbours'. It is trained in numpy on at most FIT_ROWS documents whose label row satisfies ``keep``
-    (texts are read in place; the ids are drawn by hash). Forward-backward marginals, weighted by the bytes of
+    and its neighbours'. It is trained in numpy on at most FIT_ROWS whole documents, of FIT_LINES lines in all, whose label
+    row satisfies ``keep``: ids are drawn by hash, tasks turn the texts into features where these are read, and the driver
+    gets no text, but OWN numbers a line. Forward-backward marginals, weighted by the bytes of
     their lines, give the document's mean, which a logistic map turns into a probability. Null, empty and blank
     texts count as one blank line; without labels every score is the mean itself (0.5). Repeated rows each give a
     row; other columns are ignored.
     """
-    rows = labelled_sample(docs.where("text is not null"), labels, "quality", keep, FIT_ROWS).orderBy("doc_id").limit(2 * FIT_ROWS).collect()
+    rows = _fit_rows(docs, labels, keep)
     share = class_share(labels.withColumn("quality", (F.col("quality") > 0).cast("int")), "quality", keep) if rows else 0.5
-    model = docs.sparkSession.sparkContext.broadcast(fit([r["text"] for r in rows], np.array([r["label"] for r in rows]), share))
+    own, size = (np.concatenate([np.frombuffer(r[k], dtype=t) for r in rows] or [np.zeros(0, dtype=t)]) for k, t in (("own", np.float32), ("size", np.float64)))
+    doc = np.repeat(np.arange(len(rows)), [r["lines"] for r in rows])
+    model = docs.sparkSession.sparkContext.broadcast(fit(own.reshape(-1, OWN), doc, size, np.array([r["label"] for r in rows]), share))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.value
@@ -219,3 +243,32 @@ def quality(docs: DataFrame, labels: DataFrame, keep, carry: list[str] | None =
     carry = carry or ["doc_id"]
     shape = StructType(docs.select(*carry).schema.fields).add("score", "double")
     return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(score, shape)
+
+
+def _fit_rows(docs: DataFrame, labels: DataFrame, keep) -> list:
+    """(doc_id, label, lines, own, size) of the documents to learn from, by their ids; one row for each id."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches_of(batches, 64):
+            own, doc, size = line_features(b.column("text").to_pylist())
+            cuts = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            parts = [(own[i:j].tobytes(), size[i:j].tobytes()) for i, j in zip(cuts, cuts[1:])]
+            yield pa.record_batch([
+                b.column("doc_id"), b.column("label"), pa.array(np.diff(cuts), pa.int64()),
+                pa.array([x for x, _ in parts], pa.binary()), pa.array([x for _, x in parts], pa.binary()),
+            ], ["doc_id", "label", "lines", "own", "size"])
+
+    sample = labelled_sample(docs.where("text is not null"), labels, "quality", keep, FIT_ROWS)
+    told = stored(sample.mapInArrow(describe, "doc_id long, label int, lines long, own binary, size binary"), "lines")
+    # One text of an id, the shortest; at most FIT_ROWS rows of three numbers.
+    known = told.groupBy("doc_id").agg(F.min("lines").alias("lines"), F.xxhash64("doc_id").alias("draw")).collect()
+    room, wanted = FIT_LINES, []
+    for r in sorted(known, key=lambda r: (r["draw"], r["doc_id"])):
+        if r["lines"] <= room:
+            room -= r["lines"]
+            wanted.append((r["doc_id"], r["lines"]))
+    if not wanted:
+        return []
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(wanted, "doc_id long, lines long"))
+    rows = told.join(chosen, ["doc_id", "lines"]).groupBy("doc_id").agg(F.min(F.struct("own", "size", "label", "lines")).alias("r"))
+    return [r["r"] for r in sorted(rows.collect(), key=lambda r: r["doc_id"])]
