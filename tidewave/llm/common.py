@@ -25,13 +25,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or a local one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``. A local one only where Spark runs on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        held = spark.sparkContext.getCheckpointDir()
-        folder = held or tempfile.mkdtemp(prefix="tidewave-")
-        if not held:
-            spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tidewave-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -98,6 +98,29 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return told(0).unionByName(told(1).join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*columns))
 
 
+def drawn(rows: DataFrame, key: str, bound: int, group: str | None = None) -> DataFrame:
+    """The rows with the least hashes of ``key``, at most ``bound`` of each value of ``group`` (few values).
+
+    Counts of hash levels, each 2 % wider than the one before, tell where to cut, so that no task sends the driver more
+    than its counts; a sort with a limit would get ``bound`` rows from each. Rows that share a key are drawn together.
+    """
+    level = F.floor(F.log2(F.shiftrightunsigned(F.xxhash64(key), 24) + F.lit(1.0)) * 32)
+    by = F.col(group) if group else F.lit(0)
+    counts = rows.groupBy(by.alias("part"), level.alias("level")).agg(F.count("*").alias("n")).collect()  # 1281 levels at most
+    take, parts = F.lit(False), {}
+    for r in sorted(counts, key=lambda r: r["level"]):
+        parts.setdefault(r["part"], []).append((r["level"], r["n"]))
+    for part, levels in parts.items():
+        held, cut = 0, None
+        for at, n in levels:
+            if held + n > bound:
+                break
+            held, cut = held + n, at
+        if cut is not None:
+            take |= (by == part) & (level <= cut)
+    return rows.where(take)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int) -> DataFrame:
     """Up to ``bound`` labelled documents, half of each class where there are so many.
 
@@ -106,10 +129,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & keep)
-        .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+        .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).where("label in (0, 1)")
     )
-    draws = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound // 2) for v in (0, 1)]
-    chosen = draws[0].unionByName(draws[1]).select(F.col("doc_id").alias("_id"), "label")
+    chosen = drawn(known, "doc_id", bound // 2, "label").select(F.col("doc_id").alias("_id"), "label")
     # Proven bound: no more than `bound` rows of a long and an int.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
 
