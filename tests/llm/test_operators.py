@@ -116,6 +116,31 @@ def test_op1_odd_rows(odd, empty):
     assert ngram_join.shingle_classes(empty).count() == 0
 
 
+def test_op1_ids_with_several_texts_and_rows_without_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, b), (5, a), (5, b), (9, a + " end"), (None, a), (None, None), (7, c), (8, None), (8, c), (2, ""), (6, "x")]
+    found = sorted((tuple(r) for r in ngram_join.shingle_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert found == sorted([(3, 26, 3), (5, 26, 3), (5, 26, 3), (9, 27, 3), (None, 26, None), (None, 0, None), (7, 26, 7), (8, 0, 7), (8, 26, 7), (2, 0, 2), (6, 1, 6)], key=repr)
+    rng = np.random.default_rng(8)
+    df, near = near_copies(spark)
+    ids = {i: int(rng.integers(0, 120)) for i, _ in near}  # ids with none, one or some of the texts
+    many = [(ids[i], t) for i, t in near]
+    edges = collections.defaultdict(set)
+    for i, _, root in brute_classes(near):
+        edges["t", root].add(ids[i])
+    low = {i: i for i in ids.values()}
+    while True:
+        new = dict(low)
+        for held in edges.values():
+            for i in held:
+                new[i] = min(new[i], min(low[j] for j in held))
+        if new == low:
+            break
+        low = new
+    got = collections.Counter((r["doc_id"], r["component_id"]) for r in ngram_join.shingle_classes(spark.createDataFrame(many, df.schema)).collect())
+    assert got == collections.Counter((i, low[i]) for i, _ in many)
+
+
 def test_op2_tells_toxic_documents(spark, odd, empty, labels):
     """Held-out labels; 18 of the 51 toxic documents of sf0.01 hold no seed word, too few to learn others from."""
     docs, marks = (spark.read.parquet(f"{SF.replace('0.01', '0.1')}/{name}.parquet") for name in ("documents", "labels"))

@@ -212,17 +212,25 @@ def _cross(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _blocks(crowd: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect what links among the strays and members of each hub's ``crowd``.
+    """Links (a, b) that connect what links among the strays and members of each hub's ``crowd`` (hub, rep, stray, block).
 
-    Blocks of at most about CHUNK strays meet blocks of as many members in a task of their own.
+    Strays of a size class meet members of the same and the neighbouring classes only, in blocks of at most about CHUNK
+    strays and as many members, each in a task of its own.
     """
+    sizes = crowd.groupBy("hub", "block").agg(F.ceil(F.sum("stray") / CHUNK).cast("int").alias("across"), F.ceil(F.count("*") / CHUNK).cast("int").alias("down"))
+    meet = (
+        sizes.where("across > 0").select("hub", "block", "across", F.explode(F.array(*(F.col("block") + k for k in (-1, 0, 1)))).alias("other"))
+        .join(sizes.select("hub", F.col("block").alias("other"), "down"), ["hub", "other"])
+    )
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    key = ["hub", "block", "other", "x", "y"]
     roles = [
-        crowd.where("stray = 1").select("hub", "rep", own("across").alias("x"), every("down").alias("y"), F.lit(0).alias("role")),
-        crowd.select("hub", "rep", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
+        crowd.where("stray = 1").join(meet, ["hub", "block"]).select("rep", "hub", "block", "other", own("across").alias("x"), every("down").alias("y"), F.lit(0).alias("role")),
+        crowd.select("hub", "rep", F.col("block").alias("other")).join(meet, ["hub", "other"])
+        .select("rep", "hub", "block", "other", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
     ]
-    return roles[0].unionByName(roles[1]).join(sets, "rep").groupBy("hub", "x", "y").applyInPandas(_cross, "a long, b long")
+    return roles[0].unionByName(roles[1]).join(sets, "rep").groupBy(*key).applyInPandas(_cross, "a long, b long")
 
 
 def shingle_classes(docs: DataFrame) -> DataFrame:
@@ -236,22 +244,53 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
     sets: a member in the same component needs no comparison, and one whose distance from the hub differs by more
     than the threshold can't link. Pairs are first bounded by their sizes and prefixes, then compared in full.
 
-    Null, empty and blank texts have no shingles and form their own classes. Rows that repeat a doc_id are one
-    document that links wherever one of its texts does; each gives a row. Shingles are held as 64-bit hashes.
-    Other columns are ignored; an empty table gives an empty result.
+    Null, empty and blank texts have no shingles and form their own classes. Rows without a doc_id link with nothing, and
+    their component_id is null. Rows that repeat a doc_id are one document that links wherever one of its texts does; each
+    gives a row. Shingles are held as 64-bit hashes. Other columns are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    base = docs.where("doc_id is not null").select("doc_id", "text")
-    order = spark.sparkContext.broadcast(_frequent(base))  # BITS / 8 bytes
+    base = docs.select("doc_id", "text")
+    described, order = _described(base)
+    texts = described.where("doc_id is not null").groupBy("doc_id").agg(*(f(F.coalesce("key", F.lit(b""))).alias(k) for f, k in ((F.min, "low"), (F.max, "high"))))
+    several = texts.where("low != high").select("doc_id")
+    return _classes(base, described, order) if several.isEmpty() else _renamed(base, several)
+
+
+def _renamed(base: DataFrame, several: DataFrame) -> DataFrame:
+    """``shingle_classes`` where ids have several texts: each text of these gets an id of its own, and what shares an id is joined afterwards."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    marks = base.sparkSession.sparkContext.broadcast(bitmap(several.select(slot.alias("slot"))))
+
+    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches_of(batches, 256):
+            own = b.column("doc_id").to_pylist()
+            new = bit_of(marks.value, b.column("slot").to_numpy()).tolist()
+            ids = [xxhash.xxh3_64_intdigest(f"{i} {t}".encode("utf-8", "surrogatepass")) >> 1 if n and i is not None else i for i, t, n in zip(own, b.column("text").to_pylist(), new)]
+            yield pa.record_batch([pa.array(ids, pa.int64()), b.column("text"), b.column("doc_id")], ["doc_id", "text", "own"])
+
+    named = base.withColumn("slot", slot).mapInArrow(rename, "doc_id long, text string, own long")
+    part = named.select("doc_id", "text")
+    found = stored(_classes(part, *_described(part)).distinct().join(named.select("doc_id", "own"), "doc_id"), "renamed")
+    low = found.groupBy("own").agg(F.min("component_id").alias("low"))
+    roots = connected_components(found.join(low, "own").select(F.col("component_id").alias("a"), F.col("low").alias("b")))
+    rooted = found.join(roots.withColumnRenamed("node", "component_id"), "component_id", "left").withColumn("root", F.coalesce("component", "component_id"))
+    least = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
+    told = rooted.select("own", "n_shingles", "root").join(least, "root").select(F.col("own").alias("doc_id"), "n_shingles", "component_id")
+    nameless = base.where("doc_id is null")
+    return told.unionByName(_classes(nameless, *_described(nameless)))
+
+
+def _described(base: DataFrame) -> tuple[DataFrame, object]:
+    """(doc_id, n, key, start) of every row: size, digest and prefix of its set; and the order of the shingles."""
+    order = base.sparkSession.sparkContext.broadcast(_frequent(base))  # BITS / 8 bytes
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
         for b in batches_of(batches, 256):
             sizes, keys, starts = [], [], []
-            for text in b.column("text").to_pylist():
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 held = shingles(text)
                 sizes.append(len(held))
-                if not len(held):
+                if doc is None or not len(held):
                     keys.append(None)
                     starts.append(None)
                     continue
@@ -261,7 +300,10 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
             lists = pa.array(starts, pa.list_(pa.int64()))
             yield pa.record_batch([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "key", "start"])
 
-    described = stored(base.mapInArrow(describe, "doc_id long, n long, key binary, start array<long>"), "shingles")
+    return stored(base.mapInArrow(describe, "doc_id long, n long, key binary, start array<long>"), "shingles"), order
+
+
+def _classes(base: DataFrame, described: DataFrame, order) -> DataFrame:
     reps = stored(
         described.where("key is not null").groupBy("key")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("start").alias("start")),
@@ -316,18 +358,17 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
     ratio = float(np.log(100 / PERCENT))
     open_lists = stored(open_lists.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")), "members")
     # What gathers around one hub, and is much, is compared in blocks of whole sets; the rest by shared members.
-    around = stored(open_lists.groupBy("hub", "rep").agg(F.max((F.col("part") != F.col("main")).cast("int")).alias("stray")), "around")
+    around = stored(open_lists.groupBy("hub", "rep", "block").agg(F.max((F.col("part") != F.col("main")).cast("int")).alias("stray")), "around")
     crowds = (
         around.groupBy("hub").agg(F.count("*").alias("members"), F.sum("stray").alias("strays"))
-        .where(F.col("members") * F.col("strays") >= CROWD)
-        .select("hub", F.ceil(F.col("strays") / CHUNK).cast("int").alias("across"), F.ceil(F.col("members") / CHUNK).cast("int").alias("down"))
+        .where(F.col("members") * F.col("strays") >= CROWD).select("hub")
     )
     crowd = stored(around.join(crowds, "hub"), "crowd")
     if not crowd.isEmpty():
         found = _blocks(crowd, _sets(base, crowd.select(F.col("rep").alias("a"), F.col("hub").alias("b"))))
         links = stored(links.unionByName(found), "links")
         groups = connected_components(links)
-    sparse = open_lists.join(crowds.select("hub"), "hub", "left_anti")
+    sparse = open_lists.join(crowds, "hub", "left_anti")
     strays = sparse.where("part != main").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
     s, o = strays.alias("s"), sparse.alias("o")
     need = F.ceil((F.col("s.n") + F.col("o.n")) * (PERCENT / (100.0 + PERCENT)) - 1e-6)
@@ -361,6 +402,5 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
         groups = connected_components(links.unionByName(more))
 
     classes = reps.select("key", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("class"))
-    return described.join(classes, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "doc_id").alias("component_id")
-    )
+    told = described.where("key is not null").join(classes, "key").select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("component_id"))
+    return told.unionByName(described.where("key is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
