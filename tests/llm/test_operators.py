@@ -262,6 +262,52 @@ def test_op5_recall_and_exact_links(spark):
     assert embed_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def brute_links(rows, least=0.9):
+    """(vec_id, links, component, kept) of (vec_id, vector) by all pairs."""
+    unit = []
+    for _, v in rows:
+        x = None if not v or any(c is None for c in v) else np.array(v, dtype=float)
+        ok = x is not None and np.isfinite(x).all() and np.abs(x).max() > 0
+        unit.append(x / np.abs(x).max() / np.linalg.norm(x / np.abs(x).max()) if ok else None)
+    near = [[i != j and x is not None and y is not None and len(x) == len(y) and x @ y >= least for j, y in enumerate(unit)] for i, x in enumerate(unit)]
+    low = {i: i for i, _ in rows}
+    while True:
+        new = dict(low)
+        for i, (a, _) in enumerate(rows):
+            for j, (b, _) in enumerate(rows):
+                if near[i][j]:
+                    new[a] = min(new[a], low[b])
+        if new == low:
+            break
+        low = new
+    return collections.Counter((i, sum(near[k]), low[i], low[i] == i) for k, (i, _) in enumerate(rows))
+
+
+def test_op5_widths_repeated_ids_and_odd_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1, [1.0, 2.0]), (2, [2.0, 4.1]), (3, [1.0, 2.0, 0.0]), (4, [2.0, 4.0, 0.1]), (5, [1e200, 2e200]), (6, [1e-200, 2e-200]), (7, [0.0, 0.0]), (8, [1.0, None]), (9, None), (10, []), (11, [float("inf"), 1.0])]
+    rows += [(12, [-3.0, 1.0]), (12, [1.0, 2.0, 0.05]), (13, [-3.0, 1.01]), (14, [5.0])] + [(20 + k, rng.normal(size=4).tolist()) for k in range(40)]
+    for parts in (1, 9):
+        df = spark.createDataFrame([(i, v, 3, "x") for i, v in rows], "vec_id long, embedding array<double>, node long, leaf string").repartition(parts)
+        assert collections.Counter(tuple(r) for r in embed_dedup.near_vectors(df).collect()) == brute_links(rows)
+
+
+def test_op5_large_leaves_are_split(spark, monkeypatch):
+    """Leaves as in a table far larger than the sample; near pairs without exact copies."""
+    monkeypatch.setattr(embed_dedup, "FIT_ROWS", 100)
+    monkeypatch.setattr(embed_dedup, "LEAF", 24)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(1200)]
+    rows += [(2000 + i, (np.array(v) + rng.normal(size=16) * 0.1).tolist()) for i, v in rows[:400]]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    found = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    links = np.array([found[i] for i, _ in rows])
+    assert (links <= near.sum(axis=1)).all() and links.sum() >= 0.9 * near.sum() > 600
+
+
 def test_op6_notices_and_directories(spark, empty):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/x.py", "print(1)"), (3, "a/b/y.py", "Licensed under the Apache License, Version 2.0.\ncode code"),
