@@ -391,6 +391,42 @@ def test_op8_every_link_of_a_page_is_an_edge(spark):
     assert found == {k: "block" for k in range(1, 8)} | {8: "allow", 9: "allow", 10: "allow"}
 
 
+def test_op8_random_graphs_equal_union_find(spark):
+    """Chains, cycles and stars of canonical links, refreshes and given redirects, against a plain union-find over all urls."""
+    rng = np.random.default_rng(12)
+    hosts = ["a.com", "x.example.com", "example.com", "net", "b.example.net", "q.org", "z.io", "com.io"]
+    urls = [f"http://{hosts[k % 8]}/{('en', 'de', 'es', 'fr')[k % 4]}/{k % 13}/p{k}" for k in range(150)]
+    edges = [tuple(rng.choice(150, 2)) for _ in range(90)]
+    html = collections.defaultdict(str)
+    for a, b in edges[:60]:
+        path = urls[b].split("/", 3)[3]
+        same = urls[a].split("/")[2] == urls[b].split("/")[2]
+        html[a] += [f'<link rel="canonical" href="{urls[b]}">', f'<meta http-equiv=refresh content="3;url={"/" + path if same else urls[b]}">'][b % 2]
+    rows = [(k, u, html[k], "x", 1) for k, u in enumerate(urls)] + [(500, None, "<link rel=canonical href=/x>", "x", 1), (501, "nowhere", None, "x", 1)]
+    redirects = spark.createDataFrame([(urls[a], urls[b]) for a, b in edges[60:]] + [(None, urls[0])], "source string, target string")
+    up = list(range(150))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        up[find(a)] = find(b)
+
+    def rule(k):
+        _, _, host, path = urls[k].split("/", 3)
+        fits = [(len(h + p), h + p, a) for a, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    want = {500: (None, "allow"), 501: (None, "allow")}
+    for k in range(150):
+        group = [rule(j)[1] for j in range(150) if find(j) == find(k)]
+        want[k] = (rule(k)[0], rule(k)[1] or ("allow" if "allow" in group else "block" if "block" in group else "allow"))
+    found = url_filter.url_verdicts(spark.createDataFrame(rows, "page_id long, url string, html string, host string, rule int"), redirects=redirects)
+    assert {r["page_id"]: (r["rule"], r["verdict"]) for r in found.collect()} == want and found.count() == 152
+
+
 def test_op9_held_out_accuracy(odd, empty, docs):
     learn = fold_of("doc_id", 4) != 2
     found = language_id.languages(docs, learn, ["doc_id", "lang"]).where(~learn).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewave.llm.common import LOWER, UPPER
+from tidewave.llm.common import LOWER, UPPER, stored
 from tidewave.llm.graph import connected_components
 
 #: (action, host, path prefix); a rule covers its host and every subdomain.
@@ -36,23 +36,23 @@ def address_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), path_of(url), query))
 
 
-def _resolved(to: Column, base: Column) -> Column:
-    """``to`` made absolute as seen from the url ``base`` (RFC 3986); null for '', a fragment or another scheme such as mailto."""
-    path = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
-    folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
-    steps = F.split(F.regexp_replace(F.when(path.startswith("/"), path).otherwise(F.concat(folder, path)), "^/", ""), "/")
+def _resolved(to: Column, base: Column, host: Column, path: Column) -> Column:
+    """``to`` made absolute as seen from a url ``base`` with ``host`` and ``path`` (RFC 3986); null for '', a fragment or another scheme such as mailto."""
+    own = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
+    steps = F.split(F.regexp_replace(F.when(own.startswith("/"), own).otherwise(F.concat(F.regexp_replace(path, r"[^/]*$", ""), own)), "^/", ""), "/")
     kept = F.aggregate(
         steps, F.array().cast("array<string>"),
         lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(s == ".", a).otherwise(F.array_append(a, s)),
+        lambda a: F.when(own.rlike(r"(^|/)\.{1,2}$"), F.array_append(a, F.lit(""))).otherwise(a),
     )
-    kept = F.when(F.element_at(steps, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
     rest = F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1)
     return (
-        F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        F.when(base.isNull() | (to == "") | to.startswith("#"), F.lit(None))
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(to.startswith("//"), F.concat(F.lit("http:"), to))
-        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (to == "") | to.startswith("#"), F.lit(None))
-        .when(to.startswith("?"), F.concat(F.lit("http://"), host_of(base), path_of(base), to))
-        .otherwise(F.concat(F.lit("http://"), host_of(base), F.lit("/"), F.array_join(kept, "/"), rest))
+        .when(to.startswith("?"), F.concat(F.lit("http://"), host, path, to))
+        .otherwise(F.concat(F.lit("http://"), host, F.lit("/"), F.array_join(kept, "/"), rest))
     )
 
 
@@ -62,23 +62,28 @@ def _link_rows(pages: DataFrame) -> DataFrame:
     href = lambda tag: plain(F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
     hop = lambda tag: plain(F.regexp_extract(tag, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
     tags = lambda kind: F.regexp_extract_all("html", F.lit(kind), F.lit(0))
-    return (
-        pages.select("url", F.explode(F.concat(F.transform(tags(_CANONICAL), href), F.transform(tags(_REFRESH), hop))).alias("to"), href(F.regexp_extract("html", _BASE, 0)).alias("base"))
-        .withColumn("base", F.coalesce(_resolved(F.col("base"), F.col("url")), "url"))
-        .select(F.col("url").alias("source"), _resolved(F.col("to"), F.col("base")).alias("target"))
+    parts = lambda c: {"host": host_of(F.col(c)), "path": path_of(F.col(c))}
+    linked = (
+        pages.select("url", F.concat(F.transform(tags(_CANONICAL), href), F.transform(tags(_REFRESH), hop)).alias("to"), href(F.regexp_extract("html", _BASE, 0)).alias("base"))
+        .where(F.size("to") > 0).withColumns(parts("url"))
+        .withColumn("base", F.coalesce(_resolved(F.col("base"), F.col("url"), F.col("host"), F.col("path")), "url"))
     )
+    each = linked.select("url", "base", F.explode("to").alias("to")).withColumns(parts("base"))
+    return each.select(F.col("url").alias("source"), _resolved(F.col("to"), F.col("base"), F.col("host"), F.col("path")).alias("target"))
+
 
+def ruled(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """``rows`` (host, path, ...) with rule and action of the longest rule that fits, the first listed on a tie; null if none fits.
 
-def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """Struct (rule, action) of the longest rule that fits, the first listed on a tie; null if none fits."""
-    fits = [
-        F.when(
-            ((host == h) | host.endswith("." + h)) & path.startswith(p),
-            F.struct(F.lit(h + p).alias("rule"), F.lit(a).alias("action")),
-        )
-        for a, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2]))
-    ]
-    return F.coalesce(*fits, F.lit(None).cast("struct<rule:string,action:string>"))
+    Every host is parted into the names above it, and these meet the table of rules in a join, so that the list may be
+    long; what fits a host then comes back to its rows, and the path decides. Rows without a host don't take part.
+    """
+    table = rows.sparkSession.createDataFrame([(h, (len(h + p), -k, p, h + p, a)) for k, (a, h, p) in enumerate(rules)], "name string, r struct<size:int,place:int,path:string,rule:string,action:string>")
+    parts = F.split("host", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    hosts = rows.where("host != ''").select("host").distinct().select("host", F.explode(names).alias("name")).join(table, "name").groupBy("host").agg(F.collect_list("r").alias("fits"))
+    best = F.array_max(F.filter("fits", lambda r: F.startswith("path", r["path"])))
+    return rows.join(hosts, "host", "left").withColumn("best", best).select(*rows.columns, F.col("best.rule").alias("rule"), F.col("best.action").alias("action"))
 
 
 def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -90,31 +95,26 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, re
     (null for a page without aliases). Null or host-less urls have host and path '' and no aliases, and are
     allowed; null html has no links; repeated rows are each judged; other columns are ignored.
     """
-    judged = (
-        pages.select("page_id", "url", "html")
-        .withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-        .withColumn("best", longest_rule(F.col("host"), F.col("path"), rules))
-        .select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.action").alias("action"),
-                F.xxhash64(address_of(F.col("url"))).alias("node"), address_of(F.col("url")).isNotNull().alias("addressed"))
+    judged = ruled(
+        pages.select("page_id", "url").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+        .select("page_id", "host", "path", F.when(F.col("host") != "", F.xxhash64(address_of(F.col("url")))).alias("node")), rules,
     )
     urls = _link_rows(pages)
     if redirects is not None:
         urls = urls.unionByName(redirects.select("source", "target"))
     ends = urls.select(address_of(F.col("source")).alias("x"), address_of(F.col("target")).alias("y")).where("x is not null and y is not null")
+    ends = stored(ends, "links")  # the html is read once
     links = connected_components(ends.select(F.xxhash64("x").alias("a"), F.xxhash64("y").alias("b")))
     # A redirect target need not be a page: the rules judge the addresses themselves.
     named = ends.select(F.explode(F.array("x", "y")).alias("address")).distinct()
     full = F.concat(F.lit("://"), F.col("address"))
-    ruled = named.select(
-        F.xxhash64("address").alias("node"), longest_rule(host_of(full), path_of(full), rules)["action"].alias("action")
-    ).where("action is not null")
+    told = ruled(named.select(F.xxhash64("address").alias("node"), host_of(full).alias("host"), path_of(full).alias("path")), rules).where("action is not null").select("node", "action")
     decided = (
-        ruled.join(links, "node").groupBy("component")
+        told.join(links, "node").groupBy("component")
         .agg(F.when(F.max((F.col("action") == "allow").cast("int")) == 1, "allow").otherwise("block").alias("passed"))
     )
     aliases = links.join(decided, "component", "left").select("node", "component", "passed")
-    return judged.join(aliases, "node", "left").select(
-        "page_id", "host", "path", "rule",
-        F.coalesce("action", F.when(F.col("addressed"), F.col("passed")), F.lit("allow")).alias("verdict"),
-        F.when(F.col("addressed"), F.col("component")).alias("component"),
-    )
+    out = lambda rows, passed, component: rows.select(
+        "page_id", "host", "path", "rule", F.coalesce("action", passed, F.lit("allow")).alias("verdict"), component.cast("long").alias("component"))
+    return out(judged.where("node is not null").join(aliases, "node", "left"), F.col("passed"), F.col("component")).unionByName(
+        out(judged.where("node is null"), F.lit(None), F.lit(None)))
