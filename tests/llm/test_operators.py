@@ -339,6 +339,60 @@ def test_op6_licence_texts_spdx_lines_and_wrapped_notices(spark):
     assert {k: found[k] for k in want} == want
 
 
+def test_op6_scores_equal_brute_force(spark):
+    """The best cosine of any line, run of lines, whole file or window with any template, without anything passed over."""
+    rng = np.random.default_rng(3)
+    names = [("A", "Licensed under the Alpha License, Version 2."), ("B", "Released under the Beta License."), ("B", "SPDX-License-Identifier: B-1.0"), ("C", "Given to the public domain by waiver")]
+    texts = [("T", " ".join(f"term{i % 23} of{i % 5}" for i in range(60))), ("U", " ".join(f"word{i % 31} grant{i % 7} license" for i in range(40)))]
+    words = [w for _, t in names + texts for w in t.split()] + [f"x{i}" for i in range(60)]
+    rows = []
+    for k in range(60):
+        lines = [" ".join(rng.choice(words, rng.integers(0, 9))) for _ in range(rng.integers(0, 12))]
+        lines.insert(int(rng.integers(0, len(lines) + 1)), [names[k % 4][1], names[k % 4][1].replace(" ", "\n", 2), texts[k % 2][1], ""][k % 4 if k % 3 else 3])
+        rows.append((k, f"d{k}/f", "\n".join(lines)))
+    terms = lambda t: re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", t.lower())
+    every = names + texts
+    known, total = {w for _, t in every for w in terms(t)}, len(rows) + len(every)
+    df = collections.Counter(w for _, t in every for w in set(terms(t))) + collections.Counter(w for _, _, t in rows for w in set(terms(t)) & known)
+    weight = {w: math.log((1 + total) / (1 + df[w])) + 1e-3 for w in known}
+
+    def cosine(x, y):
+        a, b = collections.Counter(x), collections.Counter(y)
+        heavy = lambda c: math.sqrt(sum((n * weight.get(w, math.log(1 + total))) ** 2 for w, n in c.items()))
+        return sum(a[w] * b[w] * weight[w] ** 2 for w in a if w in b and w in weight) / max(heavy(a) * heavy(b), 1e-12)
+
+    longest = max(len(terms(t)) for _, t in names)
+    want = {}
+    for k, _, text in rows:
+        lines, whole, found = [terms(x) for x in text.split("\n")], terms(text), []
+        for a in range(len(lines)):
+            for b in range(a, min(len(lines), a + longest)):
+                block = [w for x in lines[a : b + 1] for w in x]
+                if all(lines[a : b + 1]) and (a == b or len(block) <= 3 * longest):
+                    found += [(round(cosine(block, terms(t)), 9), n) for n, t in names]
+        for n, t in texts:
+            size, last = len(terms(t)), len(whole) - len(terms(t))
+            blocks = [whole] + ([whole[i : i + size] for i in sorted({*range(0, last, max(1, size // 4)), last})] if last > 0 else [])
+            found += [(round(cosine(x, terms(t)), 9), n) for x in blocks]
+        best = max(found, default=(0.0, None))
+        want[k] = best if best[0] >= 0.6 else (None, None)
+    got = license_scan.license_scan(spark.createDataFrame(rows, "file_id long, path string, text string"), names, 0.6, texts)
+    got = {r["file_id"]: (r["score"], r["license"]) for r in got.collect()}
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()} and {v[1] for v in want.values()} >= {"A", "B", "T", None}
+    assert all(v[0] is None or abs(v[0] - want[k][0]) < 1e-6 for k, v in got.items())
+
+
+def test_op6_registered_layout_inherits(spark):
+    from tidewave.llm import queries
+
+    rows = {r["doc_id"]: r for r in queries.op6_license_scans(spark, SF.replace("0.01", "0.1")).collect()}
+    given = [r for r in rows.values() if r["origin"] == "inherited"]
+    assert given
+    for r in given:
+        above, own = r["from_path"].rsplit("/", 1)
+        assert rows[int(own)]["origin"] == "notice" and rows[int(own)]["license"] == r["license"] and str(r["doc_id"] // 1000) == above.split("/")[0]
+
+
 def test_op7_held_out_accuracy(odd, empty, docs, labels):
     found = line_crf.quality(docs, labels, fold_of("doc_id", 5) != 0).join(labels, "doc_id").where(fold_of("doc_id", 5) == 0).collect()
     assert np.mean([(r["score"] >= 0.3) == (r["quality"] == 1) for r in found]) > 0.9

@@ -37,9 +37,15 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: a tree of source, thousands, tens and id."""
+    """Documents as files of a tree: directories of a thousand, a hundred and ten ids, with files at every level.
+
+    Ids that end in 00 stand in the directory of their thousand, others that end in 0 in that of their hundred, so that
+    licence files there speak for the directories below.
+    """
     docs = documents(spark, sf_dir)
-    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 10).cast("string"), F.col("doc_id").cast("string"))
+    part = lambda n: F.expr(f"doc_id div {n}").cast("string")
+    folder = F.concat_ws("/", part(1000), F.when(F.col("doc_id") % 100 != 0, part(100)), F.when(F.col("doc_id") % 10 != 0, part(10)))
+    path = F.concat_ws("/", folder, F.col("doc_id").cast("string"))
     return license_scan.license_scan(docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")).withColumnRenamed("file_id", "doc_id")
 
 
