@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,16 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewave.llm.common import batches_of, labelled_sample, sigmoid, words_of
+from tidewave.llm.common import batches_of, labelled_sample, sigmoid, stored, words_of
 
 #: Labelled documents whose votes fit the label model and train the classifier, half of each class.
 FIT_ROWS = 8000
 #: Lexicon voters of each kind, and words that each kind of lexicon holds at most.
 VOTERS, LEXICON = 12, 4000
-#: Hashed inputs of the linear classifier.
-BUCKETS = 1 << 20
 STEPS, RATE = 1500, 20.0
-#: Least log-likelihood gain (nats) by which a term must favour one class, to be in a lexicon or an input.
+#: Least log-likelihood gain (nats) by which a term must favour one class, to be in a lexicon.
 GAIN = 8.0
 #: Least odds ratio of a lexicon term.
 ODDS = 25
@@ -46,10 +43,6 @@ def terms_of(text: str | None) -> set[bytes]:
     return out
 
 
-def bucket(term: bytes) -> int:
-    return zlib.crc32(term) & (BUCKETS - 1)
-
-
 def lexicons(sample: DataFrame, totals: tuple[int, int]) -> dict[bytes, int]:
     """Terms far more usual in labelled toxic documents than in others, each with the voter that it belongs to."""
 
@@ -68,13 +61,20 @@ def lexicons(sample: DataFrame, totals: tuple[int, int]) -> dict[bytes, int]:
     n = F.col("n0") + F.col("n1")
     half = lambda k, p: F.col(k) * F.log(F.greatest(F.col(k), F.lit(1e-9)) / (n * p))
     gain = half("n1", rate) + half("n0", 1 - rate)
-    counted = (
+    counted = stored(
         sample.mapInArrow(count, "term binary, n0 long, n1 long").groupBy("term")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where((gain >= GAIN) & (F.col("n1") * (1 - rate) >= ODDS * rate * F.col("n0")))
-        .orderBy(F.desc(gain), "term").limit(3 * LEXICON).collect()
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain)
+        .where((F.col("gain") >= GAIN) & (F.col("n1") * (1 - rate) >= ODDS * rate * F.col("n0"))), "terms",
     )
-    return tiers([bytes(r["term"]) for r in counted])
+    # Counts of gain levels tell where to cut, so that the driver gets 3 * LEXICON terms at most.
+    level, least, held = F.floor(F.log2("gain") * 32), math.inf, 0
+    for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # some hundred rows
+        held += r["n"]
+        if held > 3 * LEXICON:
+            break
+        least = r["level"]
+    found = counted.where(level >= least).select("term", "gain").collect() if least < math.inf else []
+    return tiers([bytes(r["term"]) for r in sorted(found, key=lambda r: (-r["gain"], bytes(r["term"])))])
 
 
 def tiers(terms: list[bytes]) -> dict[bytes, int]:
@@ -106,67 +106,95 @@ def votes_of(text: str | None, terms: set[bytes], lexicon: dict[bytes, int]) ->
     return out
 
 
-def label_model(votes: np.ndarray, share: float, marks: np.ndarray, trust: float = 0.98, rounds: int = 60) -> np.ndarray:
+def dependency_tree(v: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """The parent of each voter (-1: none) in the tree that explains most of what voters have in common beyond the classes.
+
+    A maximum spanning tree over the mutual information of each two voters given the class; ties that are no more than
+    chance in a sample of this size are left out.
+    """
+    n, k = v.shape
+    shared = np.zeros((k, k))
+    for p in (post, 1 - post):
+        total = p.sum() + 1e-9
+        one = (p @ v) / total
+        both = ((p[:, None] * v).T @ v) / total
+        for cell, a, b in ((both, one[:, None], one[None, :]), (one[:, None] - both, one[:, None], 1 - one[None, :]),
+                           (one[None, :] - both, 1 - one[:, None], one[None, :]), (1 - one[:, None] - one[None, :] + both, 1 - one[:, None], 1 - one[None, :])):
+            shared += total / n * np.where(cell > 1e-12, cell * np.log(np.maximum(cell, 1e-12) / np.maximum(a * b, 1e-12)), 0)
+    np.fill_diagonal(shared, -1)
+    shared[shared < 5 / n] = 0
+    parent, inside = np.full(k, -1), np.zeros(k, dtype=bool)
+    near, source = np.zeros(k), np.full(k, -1)
+    for _ in range(k):
+        j = int(np.where(inside, -1, near).argmax())
+        parent[j] = source[j] if near[j] > 0 else -1
+        inside[j] = True
+        better = ~inside & (shared[j] > near)
+        near[better], source[better] = shared[j][better], j
+    return parent
+
+
+def label_model(votes: np.ndarray, marks: np.ndarray, share: float, rounds: int = 60) -> np.ndarray:
     """Posterior of toxicity for each row of 0/1 votes, from a generative model.
 
-    The annotators' ``marks`` are one more voter, whose accuracy is given: ``trust``. It keeps the two classes from
-    settling on something else that parts the texts, such as groups of copies. Each other voter has its rate of votes in either class, learnt by expectation-maximisation. Voters that still go
-    together within the classes are correlated; a voter's evidence is divided by one plus the sum of its
-    correlations, and the model is fitted again.
+    The model draws a text's class, 1 for a ``share`` of the texts, and then every voter's vote from the class and the vote
+    of one other voter, its parent in ``dependency_tree``. Accuracies (rates of votes in each class) and correlations
+    (how a parent's vote changes these rates) are parameters, and expectation-maximisation estimates them from the votes
+    alone. The annotators' ``marks`` are no evidence; they only tell where it starts, without which the classes could
+    settle on something else that parts the texts, such as a group of voters that go together. The tree is drawn anew twice.
     """
     n, k = votes.shape
     v = votes.astype(np.float64)
-    said = np.where(marks == 1, 1.0, -1.0) * math.log(trust / (1 - trust))
-    post = sigmoid(said)
-    weight = np.ones(k)
-    prior = share
+    post = np.where(marks == 1, 0.95, 0.05)
     for turn in range(rounds):
-        one = (post @ v + 0.5) / (post.sum() + 1)
-        nil = ((1 - post) @ v + 0.05) / ((1 - post).sum() + 1)
-        one = np.clip(one, 1e-4, 1 - 1e-4)
-        nil = np.clip(np.minimum(nil, one), 1e-4, 1 - 1e-4)
-        if turn in (rounds // 3, 2 * rounds // 3):
-            spread = sum((p[:, None] * (v - m)).T @ (v - m) for p, m in ((post, one), (1 - post, nil))) / n
-            dev = np.sqrt(np.maximum(np.diag(spread), 1e-9))
-            tie = np.clip(spread / dev[:, None] / dev[None, :], 0, 1) - np.eye(k)
-            weight = 1 / (1 + np.maximum(tie, 0).sum(axis=1) * (dev > 1e-3))
-        evidence = v @ (weight * np.log(one / nil)) + (1 - v) @ (weight * np.log((1 - one) / (1 - nil)))
-        post = sigmoid(evidence + said + math.log(prior / (1 - prior)))
+        if turn in (0, rounds // 3, 2 * rounds // 3):
+            parent = dependency_tree(v, post)
+        above = np.where(parent >= 0, v[:, np.maximum(parent, 0)], 0.0)
+        like = []
+        # Where a parent's vote leaves little to learn from, the voter's rate in the class is the guide.
+        for p, start in ((1 - post, 0.02), (post, 0.1)):
+            rate = (p @ v + 2 * start) / (p.sum() + 2)
+            ones = (p @ (v * above) + 2 * rate) / (p @ above + 2)
+            nils = (p @ (v * (1 - above)) + 2 * rate) / (p @ (1 - above) + 2)
+            one = np.clip(np.where(above > 0, ones, nils), 1e-4, 1 - 1e-4)
+            like.append((v * np.log(one) + (1 - v) * np.log(1 - one)).sum(axis=1))
+        post = balanced(like[1] - like[0], share)
     return post
 
 
-def train(inputs: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on the presence of hashed terms, with soft targets.
+def balanced(ratio: np.ndarray, share: float) -> np.ndarray:
+    """Posteriors of log-likelihood ratios whose mean is the known share of class 1: the classes keep their sizes while rates are learnt."""
+    low, high = -50.0 - ratio.max(initial=0), 50.0 - ratio.min(initial=0)
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sigmoid(ratio + mid).mean() < share else (low, mid)
+    return sigmoid(ratio + mid)
 
-    The seed list and terms that favour the toxic class by GAIN nats and ODDS are the inputs; weights start at 0,
-    so that a term which only comes along with stronger ones earns little.
+
+def train(inputs: list[np.ndarray], target: np.ndarray, terms: list[bytes]) -> tuple[np.ndarray, float]:
+    """Logistic regression on the presence of ``terms``, with soft targets; ``inputs`` are their numbers in each text.
+
+    Seed words and terms that favour the toxic class by GAIN nats and ODDS are the inputs; weights start at 0, so
+    that a term which only comes along with stronger ones earns little.
     """
-    w = np.zeros(BUCKETS)
     rate = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
-    sizes = np.array([len(h) for h in inputs])
     flat = np.concatenate(inputs) if len(inputs) else np.zeros(0, dtype=np.int32)
-    owner = np.repeat(np.arange(len(inputs)), sizes)
-    n1 = np.bincount(flat, target[owner], BUCKETS)
-    n0 = np.bincount(flat, 1 - target[owner], BUCKETS)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        n = n0 + n1
-        gain = np.where(n > 0, n1 * np.log(np.maximum(n1, 1e-9) / (n * rate)) + n0 * np.log(np.maximum(n0, 1e-9) / (n * (1 - rate))), 0)
+    owner = np.repeat(np.arange(len(inputs)), [len(h) for h in inputs])
+    n1, n0 = np.bincount(flat, target[owner], len(terms)), np.bincount(flat, 1 - target[owner], len(terms))
+    n = np.maximum(n0 + n1, 1e-9)
+    gain = n1 * np.log(np.maximum(n1, 1e-9) / (n * rate)) + n0 * np.log(np.maximum(n0, 1e-9) / (n * (1 - rate)))
     ratio = np.log((n1 + 0.5) / rate) - np.log((n0 + 0.5) / (1 - rate))
-    chosen = (gain >= GAIN) & (ratio >= math.log(ODDS))
-    for term in SEED:
-        chosen[bucket(b"w" + term)] = True
+    chosen = ((gain >= GAIN) & (ratio >= math.log(ODDS))) | np.array([t[:1] == b"w" and t[1:] in SEED for t in terms], dtype=bool)
     keep = chosen[flat]
-    slots = np.flatnonzero(chosen)
-    flat, owner = np.searchsorted(slots, flat[keep]), owner[keep]
-    held = np.zeros(len(slots))
+    flat, owner = flat[keep], owner[keep]
+    w = np.zeros(len(terms))
     bias = math.log(rate / (1 - rate)) - 1.5
     for _ in range(STEPS if len(flat) else 0):
-        z = np.bincount(owner, held[flat], len(inputs)) + bias
+        z = np.bincount(owner, w[flat], len(inputs)) + bias
         error = (sigmoid(z) - target) / len(inputs)
-        held -= RATE * np.bincount(flat, error[owner], len(slots))
-        np.maximum(held - RATE * 2e-6, 0, out=held)
+        w -= RATE * np.bincount(flat, error[owner], len(terms))
+        np.maximum(w - RATE * 2e-6, 0, out=w)
         bias -= 0.1 * error.sum()
-    w[slots] = held
     return w, bias
 
 
@@ -174,51 +202,47 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep) -> DataFrame:
     """(doc_id, score) of every row: the probability that its text is toxic.
 
     Lexicon voters come from terms (words, heads and tails of words) that labelled toxic documents hold far more
-    often than others; a seed list and patterns vote too. A generative model estimates the voters' accuracies and
-    correlations, with the labels as one voter of given accuracy, and its posteriors train a linear classifier on hashed
-    terms, which scores every whole text. At most FIT_ROWS documents whose label rows satisfy ``keep`` are read
-    for this; ids are drawn by hash. Null and empty texts get the classifier's bias; without labels all scores
-    are the seed list's. Repeated rows each give a row; other columns are ignored.
+    often than others; a seed list and patterns vote too. Labels choose these voters and start the generative
+    model, and no more: it estimates the voters' accuracies and correlations from their votes, and its posteriors train a linear classifier on
+    the lexicons' terms, which scores every whole text. At most FIT_ROWS documents whose label rows satisfy ``keep`` are
+    read for this; ids are drawn by hash, and the driver gets votes and numbers of terms, no text. Null and empty texts
+    get the classifier's bias; without labels all scores are the seed list's. Repeated rows each give a row; other
+    columns are ignored.
     """
     spark = docs.sparkSession
     marked = labels.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     sample = labelled_sample(docs.where("text is not null"), marked, "toxic", keep, FIT_ROWS)
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     lexicon = lexicons(sample, (totals.get(0, 0), totals.get(1, 0)))
-    held = spark.sparkContext.broadcast(lexicon)  # 3 * LEXICON terms at most
+    terms = sorted({*lexicon, *(b"w" + w for w in SEED)})
+    held = spark.sparkContext.broadcast((lexicon, {t: i for i, t in enumerate(terms)}))  # 3 * LEXICON terms at most
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters, number = held.value
         for b in batches_of(batches, 256):
-            votes, slots = [], []
+            votes, inputs = [], []
             for text in b.column("text").to_pylist():
-                terms = terms_of(text)
-                votes.append(votes_of(text, terms, held.value).tobytes())
-                slots.append(np.unique([bucket(t) for t in terms]).astype(np.int32).tobytes())
-            yield pa.record_batch([b.column("doc_id"), b.column("label"), pa.array(votes, pa.binary()), pa.array(slots, pa.binary())], ["doc_id", "label", "votes", "slots"])
+                own = terms_of(text)
+                votes.append(votes_of(text, own, voters).tobytes())
+                inputs.append(np.array(sorted(number[t] for t in own if t in number), dtype=np.int32).tobytes())
+            yield pa.record_batch([b.column("doc_id"), b.column("label"), pa.array(votes, pa.binary()), pa.array(inputs, pa.binary())], ["doc_id", "label", "votes", "inputs"])
 
-    rows = sample.mapInArrow(prepare, "doc_id long, label int, votes binary, slots binary").orderBy("doc_id", "slots").limit(2 * FIT_ROWS).collect()
+    read = sample.mapInArrow(prepare, "doc_id long, label int, votes binary, inputs binary")
+    rows = read.groupBy("doc_id").agg(F.min(F.struct("votes", "inputs", "label")).alias("r")).collect()  # FIT_ROWS at most
     if rows:
+        rows = [r["r"] for r in sorted(rows, key=lambda r: r["doc_id"])]
         votes = np.frombuffer(b"".join(r["votes"] for r in rows), dtype=np.int8).reshape(len(rows), -1)
         rate = totals.get(1, 0) / max(1, sum(totals.values()))
-        target = label_model(votes, min(max(rate, 0.01), 0.99), np.array([r["label"] for r in rows]))
-        weights, bias = train([np.frombuffer(r["slots"], dtype=np.int32) for r in rows], target)
+        target = label_model(votes, np.array([r["label"] for r in rows]), min(max(rate, 0.01), 0.99))
+        weights, bias = train([np.frombuffer(r["inputs"], dtype=np.int32) for r in rows], target, terms)
     else:
-        weights, bias = np.zeros(BUCKETS), -3.0
-        for w in SEED:
-            weights[bucket(b"w" + w)] = 8.0
-    at = np.flatnonzero(weights)
-    model = spark.sparkContext.broadcast((at.astype(np.int32), weights[at].astype(np.float32), bias))  # BUCKETS at most
+        weights, bias = np.array([8.0 * (t[1:] in SEED) for t in terms]), -3.0
+    model = spark.sparkContext.broadcast(({t: float(w) for t, w in zip(terms, weights) if w}, bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, values, bias = model.value
-        dense = np.zeros(BUCKETS)
-        dense[at] = values
-        table = dense.tolist()
+        table, bias = model.value
         for b in batches_of(batches, 256):
-            out = []
-            for text in b.column("text").to_pylist():
-                slots = {zlib.crc32(t) & (BUCKETS - 1) for t in terms_of(text)}
-                out.append(bias + sum([table[s] for s in slots]))
+            out = [bias + sum(table[t] for t in terms_of(text) & table.keys()) for text in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), pa.array(sigmoid(np.array(out, dtype=np.float64)))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
