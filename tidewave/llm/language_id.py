@@ -10,15 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewave.llm.common import Adam, batches_of
+from tidewave.llm.common import Adam, batches_of, drawn, stored
 
 #: Bytes in a window; every byte of a text is in one.
 WINDOW = 256
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
 #: Places of a window at which the widest filter still fits; all filters use these.
 PLACES = WINDOW - max(WIDTHS) + 1
-#: The fit reads FIT_ROWS documents of each language at most, and FIT_WINDOWS windows of each of them.
-FIT_ROWS, FIT_WINDOWS, STEPS, BATCH = 800, 6, 900, 96
+#: The fit reads FIT_ROWS documents of each language at most, of FIT_WINDOWS windows in all. Whole documents are taken by
+#: the hash of their ids while they fit into the windows.
+FIT_ROWS, FIT_WINDOWS, STEPS, BATCH = 800, 20_000, 900, 96
+#: Windows of a language drawn for training, each from a document drawn first, so that long ones don't drown the others.
+DRAWS = 4800
 
 
 class ByteNet:
@@ -101,38 +104,40 @@ def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, learn: Column) -> ByteNet | None:
-    """The network fitted to a bounded sample of rows where ``learn`` holds and text and lang are not null."""
-    known = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return None
-    scale = 1 << 30
-    take = F.lit(False)
-    for lang, n in sizes.items():
-        take |= (F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < int(min(1.0, FIT_ROWS / n) * scale))
-    rows = docs.where(learn & F.col("text").isNotNull() & take).select("doc_id", "lang", "text")
+    """The network fitted to a bounded sample of rows where ``learn`` holds and text and lang are not null; languages are few."""
+    rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang", "text")
+    ids = drawn(rows.select("doc_id", "lang").distinct(), "doc_id", FIT_ROWS, "lang")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_of(batches, 200):
-            grid, owner, weight = cut(b.column("text").to_pylist())
-            ids, langs = b.column("doc_id").to_pylist(), b.column("lang").to_pylist()
-            keep = []
-            for i in range(b.num_rows):
-                own = np.flatnonzero(owner == i)
-                keep += np.random.default_rng(abs(ids[i])).permutation(own)[:FIT_WINDOWS].tolist()
-            yield pa.record_batch([pa.array([langs[owner[k]] for k in keep]), pa.array([grid[k].tobytes() for k in keep], pa.binary())], ["lang", "bytes"])
-
-    found = rows.mapInArrow(windows, "lang string, bytes binary").orderBy("lang", "bytes").collect()
-    if not found:
+            grid, owner, _ = cut(b.column("text").to_pylist())
+            sizes = np.bincount(owner, minlength=b.num_rows)
+            parts = [x.tobytes() for x in np.split(grid, np.cumsum(sizes)[:-1])]
+            yield pa.record_batch([b.column("doc_id"), b.column("lang"), pa.array(sizes, pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "lang", "n", "bytes"])
+
+    # Bound of the broadcast: FIT_ROWS ids a language.
+    told = stored(rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text").mapInArrow(windows, "doc_id long, lang string, n long, bytes binary"), "windows")
+    known = told.groupBy("doc_id", "lang").agg(F.min("n").alias("n"), F.xxhash64("doc_id").alias("draw")).collect()
+    room, wanted = {}, []
+    for r in sorted(known, key=lambda r: (r["draw"], r["doc_id"])):
+        left = room.get(r["lang"], FIT_WINDOWS)
+        if r["n"] <= left:
+            room[r["lang"]] = left - r["n"]
+            wanted.append((r["doc_id"], r["lang"], r["n"]))
+    if not wanted:
         return None
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(wanted, "doc_id long, lang string, n long"))
+    found = told.join(chosen, ["doc_id", "lang", "n"]).groupBy("doc_id", "lang").agg(F.min("bytes").alias("bytes")).collect()
+    found.sort(key=lambda r: (r["lang"], r["doc_id"]))
     langs = sorted({r["lang"] for r in found})
-    x = np.frombuffer(b"".join(r["bytes"] for r in found), dtype=np.uint8).reshape(-1, WINDOW)
-    y = np.array([langs.index(r["lang"]) for r in found])
+    grids = [np.frombuffer(r["bytes"], dtype=np.uint8).reshape(-1, WINDOW) for r in found]
     # As many of each language, so that a large language is no prior for short texts.
     rng = np.random.default_rng(11)
-    even = max(np.bincount(y))
-    pick = np.concatenate([rng.choice(np.flatnonzero(y == k), even) for k in range(len(langs))])
-    x, y = x[pick].copy(), y[pick]
+    x, y = [], np.repeat(np.arange(len(langs)), DRAWS)
+    for lang in langs:
+        own = [g for g, r in zip(grids, found) if r["lang"] == lang]
+        x += [own[k][rng.integers(len(own[k]))] for k in rng.integers(0, len(own), DRAWS)]
+    x = np.array(x)
     short = rng.random(len(x)) < 0.3  # many texts are short
     for i in np.flatnonzero(short):
         x[i, rng.integers(4, WINDOW) :] = 32
@@ -144,8 +149,8 @@ def fit(docs: DataFrame, learn: Column) -> ByteNet | None:
 def languages(docs: DataFrame, learn: Column, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text, lang); ``carry`` names the columns to return with them.
 
-    The network is trained in numpy on a bounded sample (FIT_ROWS documents a language, FIT_WINDOWS windows
-    each) of rows where ``learn`` holds. Every text is cut into windows of WINDOW bytes, all of which are scored
+    The network is trained in numpy on a bounded sample (FIT_ROWS whole documents of FIT_WINDOWS windows for a
+    language) of rows where ``learn`` holds. Every text is cut into windows of WINDOW bytes, all of which are scored
     in batches; a text's log-probabilities are the means over its windows, weighted by their bytes, and ``score``
     is the probability of the winner. A text that is null or has no letter is ``und`` with score 0; so is all if
     nothing could be learnt. Repeated rows each give a row; other columns are ignored.
