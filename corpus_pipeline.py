@@ -32,9 +32,17 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each class of near copies stays; so do rows without an id."""
-    found = ngram_join.shingle_classes(docs)
-    return without(docs.select(*COLUMNS), found.where("doc_id != component_id"))
+    """The smallest document of each class of near copies stays, in one row where several bear its id; so do rows without an id.
+
+    Rows of one id are one document to the join; of these the one with the least text stays.
+    """
+    held = docs.select(*COLUMNS)
+    kept = without(held, ngram_join.shingle_classes(docs).where("doc_id != component_id"))
+    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")  # reads ids only
+    if again.isEmpty():
+        return kept
+    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return without(kept, again).unionByName(one.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
