@@ -1,7 +1,9 @@
-"""Dynamic programming and fitting over ordered arrays. Each works on a stack of keys at once where it can."""
+"""Dynamic programming and fitting over the ordered values of one key."""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 
 
@@ -90,7 +92,7 @@ def longest_increasing(a: np.ndarray) -> int:
     """Seeds of the longest chain that ascends in both sequences, given the second's places in order of the first's."""
     tails: list[int] = []
     for v in a.tolist():
-        k = int(np.searchsorted(tails, v)) if tails else 0
+        k = bisect_left(tails, v)
         if k == len(tails):
             tails.append(v)
         else:

@@ -116,17 +116,29 @@ def spans(spark: SparkSession, sf: str) -> DataFrame:
         F.min(day).cast("long").alias("b"), (F.max(day) + 1).cast("long").alias("e"), F.min("l_suppkey").alias("s"), F.round(F.sum("l_quantity"), 2).alias("score"))
 
 
-#: Days in a bin of interval joins; an interval is in every bin that it touches.
-BIN = 64
-
-
 def overlapping(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Pairs of intervals (b, e) of one key that overlap: an equi-join on key and bin, each pair where it begins."""
-    bins = lambda f: F.explode(F.sequence(F.floor(F.col("b") / BIN), F.floor((F.col("e") - 1) / BIN)))
-    x = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], bins(a).alias("bin"))
-    y = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], bins(b).alias("bin"))
+    """Pairs of intervals (b, e) of one key that overlap: an equi-join on key and bin, each pair where it begins.
+
+    A bin is as wide as the intervals of ``a`` are long in the mean, so that these are in about two each, whatever their unit.
+    """
+    mean = a.agg(F.avg(F.col("e") - F.col("b"))).first()[0]  # one row
+    width = max(1, int(mean or 1))
+    bins = F.explode(F.sequence(F.floor(F.col("b") / width), F.floor((F.col("e") - 1) / width)))
+    x = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], bins.alias("bin"))
+    y = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], bins.alias("bin"))
     on = (x["bin"] == y["bin"]) & (F.col(f"a_{key}") == F.col(f"b_{key}")) & C.overlap(F.col("a_b"), F.col("a_e"), F.col("b_b"), F.col("b_e"))
-    return x.join(y, on).where(F.floor(F.greatest("a_b", "b_b") / BIN) == x["bin"]).drop("bin")
+    return x.join(y, on).where(F.floor(F.greatest("a_b", "b_b") / width) == x["bin"]).drop("bin")
+
+
+#: Levels of the tree of days: 2^LEVELS of them, from 1970 to 2149, and as many before.
+LEVELS = 16
+
+
+def tree_nodes() -> F.Column:
+    """The fewest nodes (level, place) of the binary tree over days that make up the interval [b, e)."""
+    return F.expr(f"""filter(flatten(transform(sequence(0, {LEVELS}), k -> array(
+      if(-shiftright(-b, k) < shiftright(e, k) and (-shiftright(-b, k)) & 1 = 1, named_struct('k', k, 'i', -shiftright(-b, k)), null),
+      if(-shiftright(-b, k) < shiftright(e, k) and shiftright(e, k) & 1 = 1, named_struct('k', k, 'i', shiftright(e, k) - 1), null)))), x -> x is not null)""")
 
 
 @query(_SPAN + """select x.id as left_id, y.id as right_id, greatest(x.b, y.b) as clip_begin, least(x.e, y.e) as clip_end from span x join span y
@@ -146,10 +158,24 @@ def interval_complement(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_SPAN + """select id, score from span x where not exists (select 1 from span y where x.s = y.s and x.b < y.e and y.b < x.e and (y.score > x.score or (y.score = x.score and y.id < x.id)))""")
 def conflict_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    """Intervals that no overlapping one of a better score beats."""
-    s = spans(spark, sf)
-    beaten = overlapping(s, s, "s").where("b_score > a_score or (b_score = a_score and b_id < a_id)").select(F.col("a_id").alias("id")).distinct()
-    return s.join(beaten, "id", "left_anti").select("id", "score")
+    """Intervals that no overlapping one of a better score beats, without pairs.
+
+    Every interval is some nodes of a binary tree over days, and two overlap just where a node of one is a node of the
+    other, or above or below it. So the best score at and below each node, and that at and above it, tell whether
+    an interval is beaten; all are maxima of groups, which are combined before they are shuffled.
+    """
+    s = spans(spark, sf).withColumn("rank", F.struct("score", (-F.col("id")).alias("low")))
+    own = s.select("id", "s", "rank", F.inline(tree_nodes()))
+    held = own.groupBy("s", "k", "i").agg(F.max("rank").alias("rank"))
+    up = F.expr(f"transform(sequence(k, {LEVELS}), j -> named_struct('uk', j, 'ui', shiftright(i, j - k)))")
+    above = held.select("s", "k", "i", "rank", F.inline(up))
+    below = above.groupBy("s", F.col("uk").alias("k"), F.col("ui").alias("i")).agg(F.max("rank").alias("below"))
+    over = (
+        above.select("s", "k", "i", "uk", "ui").join(held.select("s", F.col("k").alias("uk"), F.col("i").alias("ui"), F.col("rank").alias("top")), ["s", "uk", "ui"])
+        .groupBy("s", "k", "i").agg(F.max("top").alias("over"))
+    )
+    best = own.join(below, ["s", "k", "i"]).join(over, ["s", "k", "i"]).groupBy("id").agg(F.first("rank").alias("rank"), F.max(F.greatest("below", "over")).alias("best"))
+    return best.where("best = rank").select("id", F.col("rank.score").alias("score"))
 
 
 @query("select o_orderkey, o_totalprice from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
@@ -196,9 +222,11 @@ def homopolymer_compress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmers(df: DataFrame, k: int) -> DataFrame:
-    """Every run of k letters with its place, from 0."""
-    at = F.sequence(F.lit(1), F.length("s") - k + 1)
-    return df.where(F.length("s") >= k).select("doc_id", "s", F.explode(at).alias("p")).select("doc_id", (F.col("p") - 1).cast("long").alias("place"), F.expr(f"substring(s, p, {k})").alias("kmer"))
+    """Every run of k letters with its place, from 0. A long sequence is cut into pieces first, as a place is found by counting letters."""
+    pieces = F.explode(F.sequence(F.lit(0), F.expr(f"(length(s) - {k}) div 256"))).alias("c")
+    cut = df.where(F.length("s") >= k).select("doc_id", "s", pieces).select("doc_id", (F.col("c") * 256).cast("long").alias("at"), F.expr(f"substring(s, c * 256 + 1, 255 + {k})").alias("piece"))
+    each = cut.select("doc_id", "at", "piece", F.explode(F.sequence(F.lit(1), F.length("piece") - k + 1)).alias("p"))
+    return each.select("doc_id", (F.col("at") + F.col("p") - 1).alias("place"), F.expr(f"substring(piece, p, {k})").alias("kmer"))
 
 
 @query("""with seq as (select doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') as s from documents), bench as (select item_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') as s from benchmark),
@@ -207,8 +235,9 @@ def kmers(df: DataFrame, k: int) -> DataFrame:
 def kmer_join(spark: SparkSession, sf: str) -> DataFrame:
     """Seeds that benchmark items share with documents, as sequences."""
     k = kmers(sequences(spark, sf), 16).select("doc_id", "kmer")
-    q = kmers(table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), C.letters_of(F.col("text")).alias("s")), 16).select(F.col("doc_id").alias("item_id"), "kmer")
-    return k.join(q, "kmer").groupBy("item_id", "doc_id").agg(F.count("*").alias("seeds")).where("seeds >= 3")
+    q = kmers(table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), C.letters_of(F.col("text")).alias("s")), 16)
+    q = q.groupBy(F.col("doc_id").alias("item_id"), "kmer").agg(F.count("*").alias("times"))  # repeats don't multiply rows
+    return k.join(q, "kmer").groupBy("item_id", "doc_id").agg(F.sum("times").alias("seeds")).where("seeds >= 3")
 
 
 @query(_LETTERS + """, k as (select doc_id, p - 1 as place, substring(s, p, 12) as kmer from (select doc_id, s, unnest(range(1, length(s) - 10)) as p from seq))

@@ -340,7 +340,10 @@ def region_report(spark: SparkSession, sf: str) -> DataFrame:
 def robust_ipd(spark: SparkSession, sf: str) -> DataFrame:
     """Upper median of gaps over ln 2, and their upper quarter."""
     g = pulses(spark, sf).select("zmw", (F.col("start") - F.lag("start").over(ordered())).alias("gap")).where("gap is not null")
-    return g.groupBy("zmw").agg(F.round(C.upper_median(F.col("gap")) / F.log(F.lit(2.0)), 5).alias("ipd"), C.nth_quantile(F.col("gap"), 0.75).alias("upper"))
+    by = Window.partitionBy("zmw")
+    g = g.withColumn("r", F.row_number().over(by.orderBy("gap"))).withColumn("n", F.count("*").over(by))
+    at = lambda place: F.max(F.when(F.col("r") == place + 1, F.col("gap")))
+    return g.groupBy("zmw").agg(F.round(at(F.floor(F.col("n") / 2)) / F.log(F.lit(2.0)), 5).alias("ipd"), at(F.floor(F.col("n") * 0.75)).alias("upper"))
 
 
 @query(PULSE + """, s as (select zmw, label, avg(height) as m, count(*) as n, stddev_samp(height) as sd from pulse where label <> 'N' group by zmw, label)
