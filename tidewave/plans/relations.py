@@ -135,10 +135,19 @@ LEVELS = 16
 
 
 def tree_nodes() -> F.Column:
-    """The fewest nodes (level, place) of the binary tree over days that make up the interval [b, e)."""
-    return F.expr(f"""filter(flatten(transform(sequence(0, {LEVELS}), k -> array(
-      if(-shiftright(-b, k) < shiftright(e, k) and (-shiftright(-b, k)) & 1 = 1, named_struct('k', k, 'i', -shiftright(-b, k)), null),
-      if(-shiftright(-b, k) < shiftright(e, k) and shiftright(e, k) & 1 = 1, named_struct('k', k, 'i', shiftright(e, k) - 1), null)))), x -> x is not null)""")
+    """Nodes (k: level, i: place) of the binary tree over days that the interval [b, e) touches.
+
+    ``own`` ones are the fewest that make it up; the others hold one of its ends and days outside it.
+    """
+    first, last = "-shiftright(-b, k)", "shiftright(e, k)"
+    node = lambda own, i, when: f"if({when}, named_struct('own', {own}, 'k', k, 'i', {i}), null)"
+    inside = lambda i: f"(shiftleft({i}, k) >= b and shiftleft({i} + 1, k) <= e)"
+    low, high = "shiftright(b, k)", "shiftright(e - 1, k)"
+    every = [
+        node("true", first, f"{first} < {last} and ({first}) & 1 = 1"), node("true", f"{last} - 1", f"{first} < {last} and {last} & 1 = 1"),
+        node("false", low, f"not {inside(low)}"), node("false", high, f"{high} <> {low} and not {inside(high)}"),
+    ]
+    return F.expr(f"filter(flatten(transform(sequence(0, {LEVELS}), k -> array({', '.join(every)}))), x -> x is not null)")
 
 
 @query(_SPAN + """select x.id as left_id, y.id as right_id, greatest(x.b, y.b) as clip_begin, least(x.e, y.e) as clip_end from span x join span y
@@ -160,22 +169,15 @@ def interval_complement(spark: SparkSession, sf: str) -> DataFrame:
 def conflict_resolution(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals that no overlapping one of a better score beats, without pairs.
 
-    Every interval is some nodes of a binary tree over days, and two overlap just where a node of one is a node of the
-    other, or above or below it. So the best score at and below each node, and that at and above it, tell whether
-    an interval is beaten; all are maxima of groups, which are combined before they are shuffled.
+    Every interval is made of some nodes of a binary tree over days, and two overlap just where a node of one is a node
+    of the other, or above or below it. So an interval is beaten by the best that touches a node of its own, or that
+    owns a node which it touches; both are maxima of groups, which are combined before they are shuffled.
     """
     s = spans(spark, sf).withColumn("rank", F.struct("score", (-F.col("id")).alias("low")))
-    own = s.select("id", "s", "rank", F.inline(tree_nodes()))
-    held = own.groupBy("s", "k", "i").agg(F.max("rank").alias("rank"))
-    up = F.expr(f"transform(sequence(k, {LEVELS}), j -> named_struct('uk', j, 'ui', shiftright(i, j - k)))")
-    above = held.select("s", "k", "i", "rank", F.inline(up))
-    below = above.groupBy("s", F.col("uk").alias("k"), F.col("ui").alias("i")).agg(F.max("rank").alias("below"))
-    over = (
-        above.select("s", "k", "i", "uk", "ui").join(held.select("s", F.col("k").alias("uk"), F.col("i").alias("ui"), F.col("rank").alias("top")), ["s", "uk", "ui"])
-        .groupBy("s", "k", "i").agg(F.max("top").alias("over"))
-    )
-    best = own.join(below, ["s", "k", "i"]).join(over, ["s", "k", "i"]).groupBy("id").agg(F.first("rank").alias("rank"), F.max(F.greatest("below", "over")).alias("best"))
-    return best.where("best = rank").select("id", F.col("rank.score").alias("score"))
+    rows = s.select("id", "s", "rank", F.inline(tree_nodes()))
+    best = rows.groupBy("s", "k", "i").agg(F.max("rank").alias("touching"), F.max(F.when(F.col("own"), F.col("rank"))).alias("owning"))
+    met = rows.join(best, ["s", "k", "i"]).groupBy("id").agg(F.first("rank").alias("rank"), F.max(F.when(F.col("own"), F.col("touching")).otherwise(F.col("owning"))).alias("best"))
+    return met.where("best = rank").select("id", F.col("rank.score").alias("score"))
 
 
 @query("select o_orderkey, o_totalprice from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
