@@ -24,7 +24,11 @@ def query(f):
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewave-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tidewave-")
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
@@ -92,16 +96,22 @@ class Blocks(StatefulProcessor):
 def stream_full_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Full blocks of every key from the stream of events, which come in order of their ids."""
     ship_package(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    e = event_stream(spark, sf).select("user_id", "event_id", "event_type", "value")
-    return drain(e.groupBy("user_id").transformWithStateInPandas(Blocks(), "zmw long, mb long, pulses long, bases long, mean double", "Append", "None"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # what this operator needs
+    try:
+        e = event_stream(spark, sf).select("user_id", "event_id", "event_type", "value")
+        return drain(e.groupBy("user_id").transformWithStateInPandas(Blocks(), "zmw long, mb long, pulses long, bases long, mean double", "Append", "None"))
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
 @query
 def stream_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Blocks in which stream and batch differ: none."""
-    batch = blocks(spark, sf).where(F.col("pulses") == BLOCK).select("zmw", "mb", "bases")
-    stream = stream_full_blocks(spark, sf).select("zmw", "mb", "bases")
+    """Blocks in which stream and batch differ in any column: none."""
+    columns = ["zmw", "mb", "pulses", "bases", F.round("mean", 6).alias("mean")]
+    batch = blocks(spark, sf).where(F.col("pulses") == BLOCK).select(*columns)
+    stream = stream_full_blocks(spark, sf).select(*columns)
     return batch.exceptAll(stream).unionByName(stream.exceptAll(batch))
 
 
