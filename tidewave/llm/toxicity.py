@@ -140,8 +140,9 @@ def label_model(votes: np.ndarray, marks: np.ndarray, share: float, rounds: int
     The model draws a text's class, 1 for a ``share`` of the texts, and then every voter's vote from the class and the vote
     of one other voter, its parent in ``dependency_tree``. Accuracies (rates of votes in each class) and correlations
     (how a parent's vote changes these rates) are parameters, and expectation-maximisation estimates them from the votes
-    alone. The annotators' ``marks`` are no evidence; they only tell where it starts, without which the classes could
-    settle on something else that parts the texts, such as a group of voters that go together. The tree is drawn anew twice.
+    alone. The annotators' ``marks`` tell where it starts, without which the classes could settle on something else that
+    parts the texts, such as a group of voters that go together. As evidence they count only if they are a column of
+    ``votes``, with an accuracy that is estimated like any other. The tree is drawn anew twice.
     """
     n, k = votes.shape
     v = votes.astype(np.float64)
@@ -202,8 +203,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep) -> DataFrame:
     """(doc_id, score) of every row: the probability that its text is toxic.
 
     Lexicon voters come from terms (words, heads and tails of words) that labelled toxic documents hold far more
-    often than others; a seed list and patterns vote too. Labels choose these voters and start the generative
-    model, and no more: it estimates the voters' accuracies and correlations from their votes, and its posteriors train a linear classifier on
+    often than others; a seed list and patterns vote too. Labels choose these voters, start the generative
+    model, and vote in it as one more voter: it estimates the accuracies of all and their correlations, and its posteriors train a linear classifier on
     the lexicons' terms, which scores every whole text. At most FIT_ROWS documents whose label rows satisfy ``keep`` are
     read for this; ids are drawn by hash, and the driver gets votes and numbers of terms, no text. Null and empty texts
     get the classifier's bias; without labels all scores are the seed list's. Repeated rows each give a row; other
@@ -233,7 +234,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep) -> DataFrame:
         rows = [r["r"] for r in sorted(rows, key=lambda r: r["doc_id"])]
         votes = np.frombuffer(b"".join(r["votes"] for r in rows), dtype=np.int8).reshape(len(rows), -1)
         rate = totals.get(1, 0) / max(1, sum(totals.values()))
-        target = label_model(votes, np.array([r["label"] for r in rows]), min(max(rate, 0.01), 0.99))
+        marks = np.array([r["label"] for r in rows])
+        target = label_model(np.concatenate([votes, marks[:, None] == 1], axis=1), marks, min(max(rate, 0.01), 0.99))
         weights, bias = train([np.frombuffer(r["inputs"], dtype=np.int32) for r in rows], target, terms)
     else:
         weights, bias = np.array([8.0 * (t[1:] in SEED) for t in terms]), -3.0
