@@ -194,7 +194,7 @@ def test_op3_base_score_and_probabilities(spark, odd, empty, docs):
         assert abs(found[i]["base_score"] - base) < 1e-6 * abs(base)
         assert (found[i]["n_tokens"], found[i]["n_known"], found[i]["train_tokens"]) == (len(w) + 1, sum(c[x] > 0 for x in w) + 1, n)
     held = [r for i, r in found.items() if zlib.crc32(str(i).encode()) % 7 == 2]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert sum(r["score"] - r["base_score"] for r in held) > 0.3 * sum(r["n_tokens"] for r in held)
     assert lm_score.lm_scores(odd, F.lit(True)).count() == 10
     assert lm_score.lm_scores(odd, F.lit(False)).where("score = 0 and base_score = 0").count() == 10
     assert lm_score.lm_scores(empty, F.lit(True)).count() == 0
@@ -211,9 +211,32 @@ def test_op3_rare_words_are_joined(spark, docs, monkeypatch):
 
 def test_op3_contexts_are_normalised():
     rng = np.random.default_rng(1)
-    p = lm_score.train(rng.integers(0, lm_score.CONTEXT**2 * lm_score.UNITS, 500), rng.integers(1, 9, 500).astype(float))
-    table = lm_score.log_table(p).reshape(-1, lm_score.UNITS)
-    assert np.allclose((10.0 ** table[::97].astype(float)).sum(axis=1), 1, atol=1e-4)
+    shapes = {"far": (lm_score.CONTEXT, lm_score.SIZE), "near": (lm_score.CONTEXT, lm_score.SIZE), "unit": (lm_score.UNITS, lm_score.SIZE), "bias": (lm_score.UNITS,)}
+    p = {k: rng.normal(0, 0.5, n).astype(np.float32) for k, n in shapes.items()}
+    pairs = rng.integers(0, lm_score.CONTEXT, (40, 2))
+    found = np.array([(far, near, u) for far, near in pairs for u in range(lm_score.UNITS)], dtype=np.int32).T
+    logs = lm_score.log_probabilities(p, found).reshape(len(pairs), lm_score.UNITS)
+    assert np.allclose((10.0**logs).sum(axis=1), 1, atol=1e-4)
+    z = (p["far"][pairs[0, 0]] + p["near"][pairs[0, 1]]) @ p["unit"].T + p["bias"]
+    assert np.allclose(10.0 ** logs[0], np.exp(z) / np.exp(z).sum(), rtol=1e-3)
+
+
+def test_op3_noise_contrast_finds_the_distribution():
+    rng = np.random.default_rng(2)
+    # Unit 5 follows context 3, unit 9 follows context 4, three times in four; else either comes at random.
+    near = rng.integers(3, 5, 60000)
+    unit = np.where(rng.random(60000) < 0.5, np.where(near == 3, 5, 9), rng.choice([5, 9], 60000))
+    noise = np.bincount(unit, minlength=lm_score.UNITS) + 0.5
+    noise /= noise.sum()
+    begun = lm_score.start(noise)
+    trainer = lm_score.Trainer(begun, noise, 240, 0.02)
+    trainer.learn(np.stack([np.zeros(60000), near, unit]).astype(np.int32), 8)
+    slots, weight, rows = trainer.rows()
+    assert set(slots[slots < 2 * lm_score.CONTEXT]) == {0, lm_score.CONTEXT + 3, lm_score.CONTEXT + 4} and weight[0] == 60000
+    model = lm_score.mixed(begun, slots, rows)
+    assert all((model[k] == trainer.p[k]).all() for k in model)
+    got = 10 ** lm_score.log_probabilities(model, np.array([[0, 0], [3, 4], [5, 5]], dtype=np.int32))
+    assert got == pytest.approx([0.75, 0.25], abs=0.05)
 
 
 def plain_ids(text):

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +17,16 @@ from tidewave.llm.common import Adam, batches_of, sigmoid, stored, words_of
 #: Output units: the most frequent words with the end, then classes of the other words by their last two bytes.
 WORDS, CLASSES = 512, 128
 #: Context symbols: start, the most frequent words, then endings of the other words. Two make a context.
-CONTEXT_WORDS, CONTEXT_ENDS = 40, 24
+CONTEXT_WORDS, CONTEXT_ENDS = 4000, 500
 #: Frequent words whose counts go to every task; the counts of all others are joined.
 BROADCAST_WORDS = 150_000
-SIZE, NOISE, STEPS, BATCH = 24, 192, 900, 2048
+SIZE, NOISE, BATCH = 24, 96, 2048
+#: Tokens a training task should see at least: fewer tasks where there are less, and then several passes over its texts.
+SHARD_TOKENS = 2_000_000
+#: Tokens whose contexts and units are shuffled and learnt together.
+CHUNK = 1 << 19
+#: The first round of training sees one document of so many, so that all tasks of the second start from one model.
+WARM = 8
 UNITS, CONTEXT = WORDS + CLASSES + 1, CONTEXT_WORDS + CONTEXT_ENDS + 2
 END = b""
 
@@ -42,6 +49,13 @@ class Lexicon:
         for e, n, v in endings[:CLASSES]:
             self.share[self.class_of[e]] = np.log10(n + v + 1)
         self.share[UNITS - 1] = np.log10(rest[0] + rest[1] + 1)
+        #: Training tokens of each unit.
+        self.tokens = np.zeros(UNITS)
+        for w, n in ranked[:WORDS]:
+            self.tokens[unit[w]] = n
+        for e, n, _ in endings[:CLASSES]:
+            self.tokens[self.class_of[e]] = n
+        self.tokens[UNITS - 1] = rest[0]
 
     def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the words and the end: their number (-1: not frequent), unit and context symbol."""
@@ -54,60 +68,120 @@ class Lexicon:
             context[i] = self.ends_of.get(ending, CONTEXT - 1)
         return ids, unit, context
 
-    def cells(self, unit: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """The two symbols before each token, and its unit, as one number."""
-        before = np.concatenate([[0, 0], context[:-1]])
-        return (before[:-1] * CONTEXT + before[1:]) * UNITS + unit
+    def examples(self, texts: list[str | None]) -> np.ndarray:
+        """For every token of the texts: the two symbols before it (far, near), and its unit, as three rows."""
+        found = [np.empty((3, 0), dtype=np.int32)]
+        for text in texts:
+            _, unit, context = self.symbols(words_of(text))
+            found.append(contexts(context, unit))
+        return np.concatenate(found, axis=1)
 
+    def noise(self) -> np.ndarray:
+        """Share of each unit in the training tokens, a little smoothed: the distribution that noise is drawn from."""
+        found = self.tokens + 0.5
+        return found / found.sum()
 
-def train(cells: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Fit the model to counts of (context, unit) by noise-contrastive estimation; noise comes from unit counts.
+
+def contexts(context: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    before = np.concatenate([[0, 0], context[:-1]])
+    return np.stack([before[:-1], before[1:], unit]).astype(np.int32)
+
+
+def start(noise: np.ndarray) -> dict[str, np.ndarray]:
+    """The model before training, which gives every unit its share."""
+    rng = np.random.default_rng(13)
+    return {
+        "far": np.zeros((CONTEXT, SIZE), dtype=np.float32), "near": np.zeros((CONTEXT, SIZE), dtype=np.float32),
+        "unit": rng.normal(0, 0.3, (UNITS, SIZE)).astype(np.float32), "bias": np.log(noise).astype(np.float32),
+    }
+
+
+def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the values' rows by number."""
+    at = rows[:, None].astype(np.int64) * SIZE + np.arange(SIZE)
+    return np.bincount(at.ravel(), values.ravel(), size * SIZE).reshape(size, SIZE).astype(np.float32)
+
+
+class Trainer:
+    """Noise-contrastive estimation on one task's tokens, from a given model.
 
     A unit's score is the product of its vector with the sum of the context's two vectors (one table for each
     place), plus its bias. A batch shares its noise units, so that all scores are one matrix product.
     """
-    rng = np.random.default_rng(13)
-    p = {
-        "near": rng.normal(0, 0.1, (CONTEXT, SIZE)), "far": rng.normal(0, 0.1, (CONTEXT, SIZE)),
-        "unit": rng.normal(0, 0.1, (UNITS, SIZE)), "bias": np.zeros(UNITS),
-    }
-    unit = cells % UNITS
-    noise = np.bincount(unit, counts, UNITS) + 0.5
-    noise /= noise.sum()
-    p["bias"] = np.log(noise)
-    if not len(cells):
-        return p
-    edge, own = np.cumsum(noise), np.cumsum(counts / counts.sum())
-    adam, log_noise = Adam(p, 0.02), np.log(NOISE * noise)
-    for step in range(STEPS):
-        pick = np.minimum(np.searchsorted(own, rng.random(BATCH)), len(cells) - 1)
-        false = np.minimum(np.searchsorted(edge, rng.random(NOISE)), UNITS - 1)
-        u, c = unit[pick], cells[pick] // UNITS
-        near, far = c % CONTEXT, c // CONTEXT
-        h = p["near"][near] + p["far"][far]
-        true = (h * p["unit"][u]).sum(axis=1) + p["bias"][u] - log_noise[u]
-        wrong = h @ p["unit"][false].T + p["bias"][false] - log_noise[false]
-        g_true, g_wrong = -(1 - sigmoid(true)) / BATCH, sigmoid(wrong) / BATCH
-        back = g_true[:, None] * p["unit"][u] + g_wrong @ p["unit"][false]
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(grads["near"], near, back)
-        np.add.at(grads["far"], far, back)
-        np.add.at(grads["unit"], u, g_true[:, None] * h)
-        np.add.at(grads["unit"], false, g_wrong.T @ h)
-        grads["bias"] = np.bincount(u, g_true, UNITS) + np.bincount(false, g_wrong.sum(axis=0), UNITS)
-        adam.update(grads, 0.05 ** (step / STEPS))
-    return p
-
-
-def log_table(p: dict[str, np.ndarray]) -> np.ndarray:
-    """log10 probability of every unit after every context: batched products, each normalised over all units."""
-    h = (p["far"][:, None, :] + p["near"][None, :, :]).reshape(CONTEXT * CONTEXT, SIZE)
-    out = np.empty((len(h), UNITS), dtype=np.float32)
-    for k in range(0, len(h), 512):
-        z = h[k : k + 512] @ p["unit"].T + p["bias"]
-        z -= z.max(axis=1, keepdims=True)
-        out[k : k + 512] = (z - np.log(np.exp(z).sum(axis=1, keepdims=True))) / np.log(10)
-    return out.ravel()
+
+    def __init__(self, model: dict[str, np.ndarray], noise: np.ndarray, steps: float, rate: float):
+        self.p = {k: v.copy() for k, v in model.items()}
+        self.edge, self.log_noise = np.cumsum(noise), np.log(NOISE * noise).astype(np.float32)
+        self.adam, self.rng, self.steps = Adam(self.p, rate), np.random.default_rng(17), max(steps, 1.0)
+        self.seen = {"far": np.zeros(CONTEXT), "near": np.zeros(CONTEXT)}
+        self.tokens = 0
+
+    def learn(self, found: np.ndarray, passes: int) -> None:
+        self.tokens += found.shape[1]
+        for k, row in (("far", 0), ("near", 1)):
+            self.seen[k] += np.bincount(found[row], minlength=CONTEXT)
+        for _ in range(passes):
+            mixed = found[:, self.rng.permutation(found.shape[1])]
+            for k in range(0, mixed.shape[1], BATCH):
+                self._step(*mixed[:, k : k + BATCH])
+
+    def _step(self, far: np.ndarray, near: np.ndarray, u: np.ndarray) -> None:
+        p = self.p
+        false = np.minimum(np.searchsorted(self.edge, self.rng.random(NOISE)), UNITS - 1)
+        h, true_vectors, false_vectors = p["far"][far] + p["near"][near], p["unit"][u], p["unit"][false]
+        true = (h * true_vectors).sum(axis=1) + p["bias"][u] - self.log_noise[u]
+        wrong = h @ false_vectors.T + p["bias"][false] - self.log_noise[false]
+        g_true, g_wrong = (sigmoid(true) - 1) / BATCH, sigmoid(wrong) / BATCH
+        back = g_true[:, None] * true_vectors + g_wrong @ false_vectors
+        grads = {
+            "far": _scatter(far, back, CONTEXT), "near": _scatter(near, back, CONTEXT),
+            "unit": _scatter(u, g_true[:, None] * h, UNITS) + _scatter(false, g_wrong.T @ h, UNITS),
+            "bias": (np.bincount(u, g_true, UNITS) + np.bincount(false, g_wrong.sum(axis=0), UNITS)).astype(np.float32),
+        }
+        self.adam.update(grads, 0.05 ** min(self.adam.step / self.steps, 1.0))
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slot, weight and values of each row that was trained: far, near, then units with their bias."""
+        none = np.zeros((CONTEXT, 1), dtype=np.float32)
+        values = np.concatenate([
+            np.hstack([self.p["far"], none]), np.hstack([self.p["near"], none]), np.hstack([self.p["unit"], self.p["bias"][:, None]]),
+        ])
+        weight = np.concatenate([self.seen["far"], self.seen["near"], np.full(UNITS, float(self.tokens))])
+        at = np.flatnonzero(weight)
+        return at, weight[at], values[at]
+
+
+def mixed(model: dict[str, np.ndarray], slots: np.ndarray, values: np.ndarray) -> dict[str, np.ndarray]:
+    """The model with the rows that were trained put in."""
+    rows = np.concatenate([
+        np.pad(model["far"], ((0, 0), (0, 1))), np.pad(model["near"], ((0, 0), (0, 1))), np.hstack([model["unit"], model["bias"][:, None]]),
+    ])
+    rows[slots] = values
+    far, near, unit = np.split(rows, [CONTEXT, 2 * CONTEXT])
+    return {k: np.ascontiguousarray(v) for k, v in (("far", far[:, :-1]), ("near", near[:, :-1]), ("unit", unit[:, :-1]), ("bias", unit[:, -1]))}
+
+
+def log_probabilities(p: dict[str, np.ndarray], found: np.ndarray) -> np.ndarray:
+    """log10 probability of every token's unit after its context, normalised over all units by batched products.
+
+    A context that comes several times among the tokens is normalised once.
+    """
+    codes, back = np.unique(found[0].astype(np.int64) * CONTEXT + found[1], return_inverse=True)
+    total = np.empty(len(codes), dtype=np.float32)
+    vectors = np.ascontiguousarray(p["unit"].T)
+    for k in range(0, len(codes), 2048):
+        far, near = np.divmod(codes[k : k + 2048], CONTEXT)
+        z = (p["far"][far] + p["near"][near]) @ vectors
+        z += p["bias"]
+        top = z.max(axis=1, keepdims=True)
+        z -= top
+        total[k : k + 2048] = top[:, 0] + np.log(np.exp(z, out=z).sum(axis=1))
+    out = np.empty(found.shape[1])
+    for k in range(0, len(out), 65536):
+        far, near, unit = found[:, k : k + 65536]
+        own = ((p["far"][far] + p["near"][near]) * p["unit"][unit]).sum(axis=1) + p["bias"][unit]
+        out[k : k + 65536] = (own - total[back[k : k + 65536]]) / np.log(10)
+    return out
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,14 +228,51 @@ def _frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["n"]) for r in found), key=lambda r: (-r[1], r[0]))
 
 
+def _trained(texts: DataFrame, model: dict[str, np.ndarray], noise: np.ndarray, lexicon: Broadcast, tokens: float, rate: float) -> dict[str, np.ndarray]:
+    """One round of training on all tokens of ``texts``: each task goes on from ``model``, and Spark averages their rows.
+
+    A row of a context symbol weighs as often as the task saw it, a unit's as the task's tokens. About ``tokens`` tokens are
+    expected; where a task would get fewer than SHARD_TOKENS there are fewer tasks, and where even one does it passes over them again.
+    """
+    spark = texts.sparkSession
+    parts = max(1, min(texts.rdd.getNumPartitions(), int(tokens // SHARD_TOKENS)))
+    passes = max(1, min(64, round(SHARD_TOKENS / max(tokens, 1.0))))
+    steps = passes * tokens / parts / BATCH
+    begun = spark.sparkContext.broadcast(model)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, trainer, kept, n = lexicon.value, Trainer(begun.value, noise, steps, rate), [], 0
+        for b in batches_of(batches, 64):
+            kept.append(held.examples(b.column("text").to_pylist()))
+            n += kept[-1].shape[1]
+            if n >= CHUNK:
+                trainer.learn(np.concatenate(kept, axis=1), passes)
+                kept, n = [], 0
+        if n:
+            trainer.learn(np.concatenate(kept, axis=1), passes)
+        slots, weight, values = trainer.rows()
+        yield pa.record_batch(
+            [pa.array(slots, pa.int64()), pa.array(weight), pa.FixedSizeListArray.from_arrays(pa.array(values.ravel(), pa.float32()), SIZE + 1).cast(pa.list_(pa.float32()))],
+            ["slot", "weight", "row"],
+        )
+
+    mean = [(F.sum(F.col("weight") * F.col("row")[i]) / F.sum("weight")).alias(f"v{i}") for i in range(SIZE + 1)]
+    # 2 * CONTEXT + UNITS rows at most, whatever the input.
+    found = texts.coalesce(parts).mapInArrow(learn, "slot long, weight double, row array<float>").groupBy("slot").agg(*mean).toArrow()
+    if not found.num_rows:
+        return model
+    values = np.stack([found.column(f"v{i}").to_numpy() for i in range(SIZE + 1)], axis=1)
+    return mixed(model, found.column("slot").to_numpy(), values)
+
+
 def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     """Score every text by a log-bilinear language model learnt from the rows where ``learn`` holds.
 
     Words of all training texts are counted. The model predicts a token's unit (a frequent word, the end, or the
-    class of a rare word's ending) from the two symbols before it; its counts of (context, unit) cover all
-    training tokens, and are bounded by the two vocabularies. It is trained in numpy by noise-contrastive
-    estimation. Scoring normalises over all units; a class shares its probability among its words in proportion to
-    count + 1, with one share for the unseen. Counts of the BROADCAST_WORDS most frequent words go to every task,
+    class of a rare word's ending) from the two symbols before it. It is trained in numpy by noise-contrastive
+    estimation on all training tokens where they lie, in two rounds: a part of the documents first, then all; the
+    tasks' models are averaged in Spark. Scoring normalises over all units by batched matrix products; a class
+    shares its probability among its words in proportion to count + 1, with one share for the unseen. Counts of the BROADCAST_WORDS most frequent words go to every task,
     those of all others are joined by a 64-bit hash of the word.
 
     Columns: doc_id, n_tokens, n_known, train_tokens, base_score (unigrams with add-one smoothing) and score, both
@@ -193,27 +304,19 @@ def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     )
     lexicon = spark.sparkContext.broadcast(Lexicon(frequent, endings, ends, rest))
 
-    def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = lexicon.value
-        seen = np.zeros(CONTEXT * CONTEXT * UNITS, dtype=np.int32)
-        for b in batches_of(batches, 256):
-            for text in b.column("text").to_pylist():
-                _, unit, context = held.symbols(words_of(text))
-                np.add.at(seen, held.cells(unit, context), 1)
-        at = np.flatnonzero(seen)
-        for k in range(0, len(at), 100_000):
-            yield pa.record_batch([pa.array(at[k : k + 100_000]), pa.array(seen[at[k : k + 100_000]].astype(np.int64))], ["cell", "n"])
-
-    grid = taught.mapInArrow(count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    cells, seen = grid.column("cell").to_numpy(), grid.column("n").to_numpy().astype(np.float64)
-    order = np.argsort(cells)
-    model = spark.sparkContext.broadcast(train(cells[order], seen[order]))
+    noise = lexicon.value.noise()
+    model = start(noise)
+    if ends:
+        warm = taught.where(F.pmod(F.xxhash64("text"), F.lit(WARM)) == 0)
+        model = _trained(warm, model, noise, lexicon, total / WARM, 0.02)
+        model = _trained(taught, model, noise, lexicon, total, 0.01)
+    model = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, table = lexicon.value, log_table(model.value)
+        held, p = lexicon.value, model.value
         log_count, is_known = np.log10(held.count + 1), (held.count > 0).astype(np.int64)
         for b in batches_of(batches, 256):
-            tokens, known, logs, lm, codes, times = [], [], [], [], [], []
+            tokens, known, logs, lm, codes, times, parts = [], [], [], [], [], [], []
             for text in b.column("text").to_pylist():
                 words = words_of(text)
                 ids, unit, context = held.symbols(words)
@@ -222,15 +325,16 @@ def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
                 known.append(int(is_known[ids[usual]].sum()))
                 logs.append(float(log_count[ids[usual]].sum()))
                 in_class = unit >= WORDS
-                lm.append(
-                    float(table[held.cells(unit, context)].sum(dtype=np.float64)) - float(held.share[unit[in_class]].sum())
-                    + float(log_count[ids[usual & in_class]].sum())
-                )
+                lm.append(float(log_count[ids[usual & in_class]].sum()) - float(held.share[unit[in_class]].sum()))
+                parts.append(contexts(context, unit))
                 rare = Counter([words[i] for i in np.flatnonzero(~usual).tolist()])
                 codes.append([_signed(w) for w in rare])
                 times.append(list(rare.values()))
+            if parts:
+                of_text = np.repeat(np.arange(len(tokens)), tokens)
+                lm = np.array(lm) + np.bincount(of_text, log_probabilities(p, np.concatenate(parts, axis=1)), len(tokens))
             yield pa.record_batch(
-                [b.column("doc_id"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(lm),
+                [b.column("doc_id"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(lm, pa.float64()),
                  pa.array(codes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
                 ["doc_id", "n_tokens", "known", "logs", "lm", "codes", "times"],
             )
