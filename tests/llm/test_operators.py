@@ -215,7 +215,9 @@ def test_op3_contexts_are_normalised():
     p = {k: rng.normal(0, 0.5, n).astype(np.float32) for k, n in shapes.items()}
     pairs = rng.integers(0, lm_score.CONTEXT, (40, 2))
     found = np.array([(far, near, u) for far, near in pairs for u in range(lm_score.UNITS)], dtype=np.int32).T
-    logs = lm_score.log_probabilities(p, found).reshape(len(pairs), lm_score.UNITS)
+    known = np.zeros(lm_score.CONTEXT**2, dtype=np.float32)
+    logs = lm_score.log_probabilities(p, found, known).reshape(len(pairs), lm_score.UNITS)
+    assert (lm_score.log_probabilities(p, found, known) == logs.ravel()).all() and np.count_nonzero(known) <= len(pairs)
     assert np.allclose((10.0**logs).sum(axis=1), 1, atol=1e-4)
     z = (p["far"][pairs[0, 0]] + p["near"][pairs[0, 1]]) @ p["unit"].T + p["bias"]
     assert np.allclose(10.0 ** logs[0], np.exp(z) / np.exp(z).sum(), rtol=1e-3)
@@ -235,7 +237,7 @@ def test_op3_noise_contrast_finds_the_distribution():
     assert set(slots[slots < 2 * lm_score.CONTEXT]) == {0, lm_score.CONTEXT + 3, lm_score.CONTEXT + 4} and weight[0] == 60000
     model = lm_score.mixed(begun, slots, rows)
     assert all((model[k] == trainer.p[k]).all() for k in model)
-    got = 10 ** lm_score.log_probabilities(model, np.array([[0, 0], [3, 4], [5, 5]], dtype=np.int32))
+    got = 10 ** lm_score.log_probabilities(model, np.array([[0, 0], [3, 4], [5, 5]], dtype=np.int32), np.zeros(lm_score.CONTEXT**2, dtype=np.float32))
     assert got == pytest.approx([0.75, 0.25], abs=0.05)
 
 

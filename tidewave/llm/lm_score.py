@@ -161,13 +161,15 @@ def mixed(model: dict[str, np.ndarray], slots: np.ndarray, values: np.ndarray) -
     return {k: np.ascontiguousarray(v) for k, v in (("far", far[:, :-1]), ("near", near[:, :-1]), ("unit", unit[:, :-1]), ("bias", unit[:, -1]))}
 
 
-def log_probabilities(p: dict[str, np.ndarray], found: np.ndarray) -> np.ndarray:
+def log_probabilities(p: dict[str, np.ndarray], found: np.ndarray, known: np.ndarray) -> np.ndarray:
     """log10 probability of every token's unit after its context, normalised over all units by batched products.
 
-    A context that comes several times among the tokens is normalised once.
+    ``known`` (CONTEXT * CONTEXT numbers, 81 MB at most) keeps the normaliser of every context seen so far, 0 where there
+    is none yet, so that a task computes each once.
     """
-    codes, back = np.unique(found[0].astype(np.int64) * CONTEXT + found[1], return_inverse=True)
-    total = np.empty(len(codes), dtype=np.float32)
+    at = found[0].astype(np.int64) * CONTEXT + found[1]
+    codes = np.unique(at)
+    codes = codes[known[codes] == 0]
     vectors = np.ascontiguousarray(p["unit"].T)
     for k in range(0, len(codes), 2048):
         far, near = np.divmod(codes[k : k + 2048], CONTEXT)
@@ -175,12 +177,12 @@ def log_probabilities(p: dict[str, np.ndarray], found: np.ndarray) -> np.ndarray
         z += p["bias"]
         top = z.max(axis=1, keepdims=True)
         z -= top
-        total[k : k + 2048] = top[:, 0] + np.log(np.exp(z, out=z).sum(axis=1))
+        known[codes[k : k + 2048]] = top[:, 0] + np.log(np.exp(z, out=z).sum(axis=1))
     out = np.empty(found.shape[1])
     for k in range(0, len(out), 65536):
         far, near, unit = found[:, k : k + 65536]
         own = ((p["far"][far] + p["near"][near]) * p["unit"][unit]).sum(axis=1) + p["bias"][unit]
-        out[k : k + 65536] = (own - total[back[k : k + 65536]]) / np.log(10)
+        out[k : k + 65536] = (own - known[at[k : k + 65536]]) / np.log(10)
     return out
 
 
@@ -314,6 +316,7 @@ def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, p = lexicon.value, model.value
+        known_contexts = np.zeros(CONTEXT * CONTEXT, dtype=np.float32)
         log_count, is_known = np.log10(held.count + 1), (held.count > 0).astype(np.int64)
         for b in batches_of(batches, 256):
             tokens, known, logs, lm, codes, times, parts = [], [], [], [], [], [], []
@@ -332,7 +335,7 @@ def lm_scores(docs: DataFrame, learn: Column) -> DataFrame:
                 times.append(list(rare.values()))
             if parts:
                 of_text = np.repeat(np.arange(len(tokens)), tokens)
-                lm = np.array(lm) + np.bincount(of_text, log_probabilities(p, np.concatenate(parts, axis=1)), len(tokens))
+                lm = np.array(lm) + np.bincount(of_text, log_probabilities(p, np.concatenate(parts, axis=1), known_contexts), len(tokens))
             yield pa.record_batch(
                 [b.column("doc_id"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(lm, pa.float64()),
                  pa.array(codes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
