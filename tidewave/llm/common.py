@@ -143,7 +143,10 @@ def class_share(labels: DataFrame, label: str, keep: Column) -> float:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * x))
+    out = np.tanh(0.5 * x)
+    out += 1.0
+    out *= 0.5
+    return out
 
 
 class Adam:
@@ -153,12 +156,23 @@ class Adam:
         self.params, self.rate, self.step = params, rate, 0
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
+        self.work = {k: (np.empty_like(v), np.empty_like(v)) for k, v in params.items()}
 
     def update(self, grads: dict[str, np.ndarray], scale: float = 1.0) -> None:
         self.step += 1
-        fix = np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step)
+        # A plain float, so that arrays of single precision stay so.
+        rate = float(self.rate * scale * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step))
         for k, g in grads.items():
-            m, v = self.m[k], self.v[k]
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            self.params[k] -= self.rate * scale * fix * m / (np.sqrt(v) + 1e-8)
+            m, v, (a, b) = self.m[k], self.v[k], self.work[k]
+            np.subtract(g, m, out=a)
+            a *= 0.1
+            m += a
+            np.multiply(g, g, out=a)
+            a -= v
+            a *= 0.001
+            v += a
+            np.sqrt(v, out=a)
+            a += 1e-8
+            np.multiply(m, rate, out=b)
+            b /= a
+            self.params[k] -= b

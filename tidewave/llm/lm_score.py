@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +60,9 @@ class Lexicon:
 
     def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the words and the end: their number (-1: not frequent), unit and context symbol."""
-        get = self.number.get
-        ids = np.array([get(w, -1) for w in words] + [self.number[END]], dtype=np.int64)
+        ids = np.empty(len(words) + 1, dtype=np.int64)
+        ids[:-1] = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        ids[-1] = self.number[END]
         unit, context = self.unit[ids], self.context[ids]
         for i in np.flatnonzero(ids < 0).tolist():
             ending = words[i][-2:]
@@ -98,7 +100,7 @@ def start(noise: np.ndarray) -> dict[str, np.ndarray]:
 
 def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums of the values' rows by number."""
-    at = rows[:, None].astype(np.int64) * SIZE + np.arange(SIZE)
+    at = rows[:, None] * np.int64(SIZE) + np.arange(SIZE)
     return np.bincount(at.ravel(), values.ravel(), size * SIZE).reshape(size, SIZE).astype(np.float32)
 
 
@@ -128,11 +130,15 @@ class Trainer:
     def _step(self, far: np.ndarray, near: np.ndarray, u: np.ndarray) -> None:
         p = self.p
         false = np.minimum(np.searchsorted(self.edge, self.rng.random(NOISE)), UNITS - 1)
-        h, true_vectors, false_vectors = p["far"][far] + p["near"][near], p["unit"][u], p["unit"][false]
-        true = (h * true_vectors).sum(axis=1) + p["bias"][u] - self.log_noise[u]
-        wrong = h @ false_vectors.T + p["bias"][false] - self.log_noise[false]
-        g_true, g_wrong = (sigmoid(true) - 1) / BATCH, sigmoid(wrong) / BATCH
-        back = g_true[:, None] * true_vectors + g_wrong @ false_vectors
+        h, true_vectors, false_vectors = p["far"].take(far, axis=0), p["unit"].take(u, axis=0), p["unit"][false]
+        h += p["near"].take(near, axis=0)
+        true = np.einsum("ij,ij->i", h, true_vectors) + p["bias"][u] - self.log_noise[u]
+        wrong = h @ false_vectors.T
+        wrong += p["bias"][false] - self.log_noise[false]
+        g_true, g_wrong = (sigmoid(true) - 1) / BATCH, sigmoid(wrong)
+        g_wrong /= BATCH
+        back = g_wrong @ false_vectors
+        back += g_true[:, None] * true_vectors
         grads = {
             "far": _scatter(far, back, CONTEXT), "near": _scatter(near, back, CONTEXT),
             "unit": _scatter(u, g_true[:, None] * h, UNITS) + _scatter(false, g_wrong.T @ h, UNITS),
@@ -171,17 +177,19 @@ def log_probabilities(p: dict[str, np.ndarray], found: np.ndarray, known: np.nda
     codes = np.unique(at)
     codes = codes[known[codes] == 0]
     vectors = np.ascontiguousarray(p["unit"].T)
-    for k in range(0, len(codes), 2048):
-        far, near = np.divmod(codes[k : k + 2048], CONTEXT)
-        z = (p["far"][far] + p["near"][near]) @ vectors
+    for k in range(0, len(codes), 512):
+        far, near = np.divmod(codes[k : k + 512], CONTEXT)
+        z = (p["far"].take(far, axis=0) + p["near"].take(near, axis=0)) @ vectors
         z += p["bias"]
         top = z.max(axis=1, keepdims=True)
         z -= top
-        known[codes[k : k + 2048]] = top[:, 0] + np.log(np.exp(z, out=z).sum(axis=1))
+        known[codes[k : k + 512]] = top[:, 0] + np.log(np.exp(z, out=z).sum(axis=1))
     out = np.empty(found.shape[1])
     for k in range(0, len(out), 65536):
         far, near, unit = found[:, k : k + 65536]
-        own = ((p["far"][far] + p["near"][near]) * p["unit"][unit]).sum(axis=1) + p["bias"][unit]
+        h = p["far"].take(far, axis=0)
+        h += p["near"].take(near, axis=0)
+        own = np.einsum("ij,ij->i", h, p["unit"].take(unit, axis=0)) + p["bias"][unit]
         out[k : k + 65536] = (own - known[at[k : k + 65536]]) / np.log(10)
     return out
 
