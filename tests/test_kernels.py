@@ -49,6 +49,54 @@ def test_semi_global_finds_the_query():
     assert row.max() == 14 and row.argmax() == 10
 
 
+def _table(a, b, match, other, gap, free, floor):
+    """Plain alignment scores of all prefixes; ``free`` begins in b, ``floor`` begins anywhere."""
+    t = [[0 if free else j * gap for j in range(len(b) + 1)]]
+    for i in range(1, len(a) + 1):
+        t.append([0 if floor else i * gap])
+        for j in range(1, len(b) + 1):
+            best = max(t[i - 1][j - 1] + (match if a[i - 1] == b[j - 1] else other), t[i - 1][j] + gap, t[i][j - 1] + gap)
+            t[i].append(max(best, 0) if floor else best)
+    return t
+
+
+def test_trace_back_accounts_for_its_score():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        q = rng.choice(list(b"ACGT"), 12).astype(np.uint8)
+        copy = [c for c in q.tolist() if rng.random() > 0.1]
+        copy = [int(rng.choice(list(b"ACGT"))) if rng.random() < 0.1 else c for c in copy]
+        copy = [x for c in copy for x in ([c, 65] if rng.random() < 0.1 else [c])]
+        t = np.array([*rng.choice(list(b"ACGT"), 9), *copy, *rng.choice(list(b"ACGT"), 7)], dtype=np.uint8)
+        row = K.semi_global(q, t)
+        assert row.tolist() == _table(q, t, 2, -3, -3, True, False)[-1]
+        for end in (int(row.argmax()), int(rng.integers(len(t) + 1)), 0, len(t)):
+            begin, equal, changed, alone, skipped = K.trace_back(q, t, end, float(row[end]))
+            assert 2 * equal - 3 * (changed + alone + skipped) == row[end] == _table(q, t[begin:end], 2, -3, -3, False, False)[-1][-1]
+            assert equal + changed + alone == len(q) and equal + changed + skipped == end - begin
+
+
+def test_flanks_meet_their_mirror():
+    rng = np.random.default_rng(6)
+    a, b = rng.choice(list(b"ACGT"), (2, 30)).astype(np.uint8)
+    assert K.local_score(a, b) == max(map(max, _table(a, b, 2, -3, -3, True, True)))
+    mirror = np.frombuffer(bytes(a[::-1]).translate(bytes.maketrans(b"ACGT", b"TGCA")), dtype=np.uint8)
+    t = np.concatenate([a, np.full(18, 65, dtype=np.uint8), mirror])
+    assert K.flank_score(t, 30, 48, 30) == 60 and K.flank_score(t, 9, 48, 30) == 1000
+
+
+def test_adapter_labels_extend_the_alignments(spark):
+    """The hits are those of adapter_align; counts, accuracy and the rule follow from one another."""
+    found = fitted.adapter_labels(spark, SF).collect()
+    assert sorted((r["doc_id"], r["end"]) for r in found) == sorted((r["doc_id"], r["end"]) for r in fitted.adapter_align(spark, SF).collect())
+    assert found
+    for r in found:
+        errors = r["mismatches"] + r["insertions"] + r["deletions"]
+        assert r["matches"] + r["mismatches"] + r["insertions"] == len(fitted.ADAPTER)
+        assert abs(r["accuracy"] - (1 - errors / (r["end"] - r["begin"]))) < 1e-12
+        assert r["kept"] == (r["accuracy"] >= 0.85 or (r["accuracy"] >= 0.7 and r["flank"] >= 20))
+
+
 def test_quality_region_drops_single_blocks():
     assert K.quality_region(np.array([0, 0, 1, 1, 1, 1, 0, 0]), 0.9) == (2, 6)
     assert K.quality_region(np.zeros(0, dtype=int), 0.9) == (0, 0)

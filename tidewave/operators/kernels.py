@@ -6,6 +6,10 @@ from bisect import bisect_left
 
 import numpy as np
 
+#: Complements of the letters by their codes; other codes stay.
+COMPLEMENT = np.arange(256, dtype=np.uint8)
+COMPLEMENT[np.frombuffer(b"ACGT", dtype=np.uint8)] = np.frombuffer(b"TGCA", dtype=np.uint8)
+
 
 def ema(x: np.ndarray, rate: float, jump: float, state: tuple[float, float] | None = None) -> tuple[np.ndarray, tuple[float, float]]:
     """Unbiased exponential mean that ignores upward jumps; ``state`` (sum, weight) carries over between chunks."""
@@ -70,6 +74,49 @@ def semi_global(query: np.ndarray, target: np.ndarray, match: int = 2, other: in
     return row
 
 
+def trace_back(query: np.ndarray, target: np.ndarray, end: int, score: float, match: int = 2, other: int = -3, gap: int = -3) -> tuple[int, int, int, int, int]:
+    """The alignment of the whole query that ends before ``end`` with the ``score`` that ``semi_global`` gives there.
+
+    Returns its begin, equal and different pairs, query letters without a partner, and target letters without one. Of
+    alignments with the same score a pair goes before a query letter alone, and that before a target letter alone.
+    """
+    # Each target letter alone costs a gap, and no more than the query's matches can earn beyond the score.
+    width = min(end, len(query) + int((match * len(query) - score) // -gap))
+    part = target[end - width : end]
+    rows, steps = [np.zeros(width + 1)], np.arange(width + 1) * gap
+    for i, c in enumerate(query, 1):
+        new = np.concatenate([[i * gap], np.maximum(rows[-1][:-1] + np.where(part == c, match, other), rows[-1][1:] + gap)])
+        rows.append(np.maximum.accumulate(new - steps) + steps)
+    i, j, equal, changed, alone, skipped = len(query), width, 0, 0, 0, 0
+    while i:
+        same = j > 0 and query[i - 1] == part[j - 1]
+        if j and rows[i][j] == rows[i - 1][j - 1] + (match if same else other):
+            equal, changed, i, j = equal + same, changed + (not same), i - 1, j - 1
+        elif rows[i][j] == rows[i - 1][j] + gap:
+            alone, i = alone + 1, i - 1
+        else:
+            skipped, j = skipped + 1, j - 1
+    return end - width + j, int(equal), int(changed), alone, skipped
+
+
+def local_score(a: np.ndarray, b: np.ndarray, match: int = 2, other: int = -3, gap: int = -3) -> float:
+    """The best score of an alignment of any part of ``a`` with any part of ``b``."""
+    row, best, steps = np.zeros(len(b) + 1), 0.0, np.arange(len(b) + 1) * gap
+    for c in a:
+        new = np.concatenate([[0.0], np.maximum(np.maximum(row[:-1] + np.where(b == c, match, other), row[1:] + gap), 0.0)])
+        row = np.maximum.accumulate(new - steps) + steps
+        best = max(best, float(row.max()))
+    return best
+
+
+def flank_score(target: np.ndarray, begin: int, end: int, reach: int) -> float:
+    """How well what precedes a span meets the reverse complement of what follows it; 1000 where either is below ten letters."""
+    before, after = target[max(0, begin - reach) : begin], target[end : end + reach]
+    if min(len(before), len(after)) < 10:
+        return 1000.0
+    return local_score(before, COMPLEMENT[after[::-1]])
+
+
 def spaced(scores: np.ndarray, places: np.ndarray, apart: int) -> list[int]:
     """Candidates of the largest total score, at least ``apart`` from each other; places are sorted."""
     before = np.searchsorted(places, places - apart, side="right")

@@ -108,11 +108,43 @@ def hq_hmm(spark: SparkSession, sf: str) -> DataFrame:
     return _arrays(blocks(spark, sf).select("zmw", F.col("mb").alias("frame"), activity.alias("code")), "code").mapInPandas(own, "zmw long, begin_mb long, end_mb long")
 
 
+ADAPTER = b"ATCTCTCTCTTTTCCTCC"
+
+
+@query
+def adapter_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Adapters in sequences with their alignments and flanks, and which of them count.
+
+    A hit counts that is accurate, or fairly so between flanks that mirror each other. Accuracy is 1 less the share of
+    errors in the letters that the alignment spans.
+    """
+    ship_package(spark)
+    adapter = np.frombuffer(ADAPTER, dtype=np.uint8)
+
+    def own(parts):
+        for d in parts:
+            out = []
+            for doc, s in zip(d["doc_id"], d["s"]):
+                letters = np.frombuffer(s.encode(), dtype=np.uint8)
+                row = K.semi_global(adapter, letters)
+                at = np.flatnonzero(row >= 8)
+                for k in K.spaced(row[at], at, 30):
+                    begin, equal, *errors = K.trace_back(adapter, letters, int(at[k]), float(row[at[k]]))
+                    accuracy = 1 - sum(errors) / (at[k] - begin)
+                    flank = K.flank_score(letters, begin, int(at[k]), 30)
+                    out.append((doc, begin, int(at[k]), equal, *errors, float(accuracy), flank, bool(accuracy >= 0.85 or (accuracy >= 0.7 and flank >= 20))))
+            yield pd.DataFrame(out, columns=["doc_id", "begin", "end", "matches", "mismatches", "insertions", "deletions", "accuracy", "flank", "kept"])
+
+    return sequences(spark, sf).where("s != ''").mapInPandas(
+        own, "doc_id long, begin long, end long, matches long, mismatches long, insertions long, deletions long, accuracy double, flank double, kept boolean"
+    )
+
+
 @query
 def adapter_align(spark: SparkSession, sf: str) -> DataFrame:
     """Adapters in sequences: ends of good semi-global alignments, chosen apart from each other for the best total."""
     ship_package(spark)
-    adapter = np.frombuffer(b"ATCTCTCTCTTTTCCTCC", dtype=np.uint8)
+    adapter = np.frombuffer(ADAPTER, dtype=np.uint8)
 
     def own(parts):
         for d in parts:

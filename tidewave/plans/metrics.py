@@ -136,6 +136,25 @@ def model_modes(spark: SparkSession, sf: str) -> DataFrame:
     return blocks(spark, sf).select("zmw", "mb", F.lit(12.5).alias("fixed"), F.first("mean").over(by_block()).alias("initial"), F.last(own, ignorenulls=True).over(by_block()).alias("staggered"))
 
 
+@query(_BLOCKS + """, c as (select zmw, mb, case when mb < 3 then 'STARTUP_HIST_INIT' when mb < 6 then 'STARTUP_DME_INIT' else 'SEQUENCING' end as state,
+  mb % 3 = 2 and sum(pulses) over w >= 20 as whole, sum(pulses * mean) over w / sum(pulses) over w as running from blocks window w as (partition by zmw, mb // 3 order by mb))
+ select zmw, mb, state, whole and mb >= 3 as estimated, round(last_value(case when state <> 'SEQUENCING' or whole then running end ignore nulls) over (partition by zmw order by mb), 6) as model from c""")
+def estimation_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The state in which each block finds its key's estimation, whether it completes one, and the model after it.
+
+    Statistics begin anew once 20 frames are there, which full blocks reach in three; only a key's last block may be
+    short. The first such stretch only gathers statistics; from the second on each ends with an estimate. Until the
+    first estimate the model follows the statistics, and then it changes with estimates only.
+    """
+    cycle = Window.partitionBy("zmw", F.expr("mb div 3")).orderBy("mb")
+    state = F.when(F.col("mb") < 3, "STARTUP_HIST_INIT").when(F.col("mb") < 6, "STARTUP_DME_INIT").otherwise("SEQUENCING")
+    whole = (F.col("mb") % 3 == 2) & (F.sum("pulses").over(cycle) >= 20)
+    running = F.sum(F.col("pulses") * F.col("mean")).over(cycle) / F.sum("pulses").over(cycle)
+    c = blocks(spark, sf).select("zmw", "mb", state.alias("state"), whole.alias("whole"), running.alias("running"))
+    model = F.last(F.when((F.col("state") != "SEQUENCING") | F.col("whole"), F.col("running")), ignorenulls=True).over(by_block())
+    return c.select("zmw", "mb", "state", (F.col("whole") & (F.col("mb") >= 3)).alias("estimated"), F.round(model, 6).alias("model"))
+
+
 _SEGMENTS = PULSE + """, fresh as (select *, case when label = lag(label) over w then 0 else 1 end as fresh from pulse window w as (partition by zmw order by frame)),
  seg as (select zmw, segment, max(label) as label, count(*) as w, sum(height) as s, sum(height * height) as m2 from (select *, sum(fresh) over (partition by zmw order by frame) as segment from fresh) group by zmw, segment)
 """
