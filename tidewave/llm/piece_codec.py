@@ -21,8 +21,8 @@ from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"  # stands for a space in pieces
 
-#: Longest stretch whose ids are kept for its next use, and how many are kept by a worker.
-KEPT_CHARS, KEPT = 48, 300_000
+#: Longest stretch whose ids are kept for its next use, and how many of them make one of the two generations that a worker keeps.
+KEPT_CHARS, KEPT = 48, 250_000
 #: Ids and texts are sent on in batches of about so many bytes.
 SEND_BYTES = 16 << 20
 
@@ -70,6 +70,7 @@ class Codec(dict):
         letters = {c for piece in normal for c in piece}
         self.pieces = [*normal, *sorted(letters - set(normal))]
         self.ids = [_packed([normal[p][0]]) if p in normal else self._bytes_of(p) for p in self.pieces]
+        self.sizes = [len(p) for p in self.pieces]
         self.automaton = ahocorasick.Automaton()
         for at, piece in enumerate(self.pieces):
             self.automaton.add_word(piece, at)
@@ -84,6 +85,7 @@ class Codec(dict):
         word = f"[{known}{SPACE}]+" if inner else f"{SPACE}*[{known}]+|{SPACE}+"
         self.stretches = re.compile(f"{word}|[^{known}{SPACE}]+").findall
         self.letters = letters
+        self.older: dict[str, bytes] = {}  # the generation of stretches before
 
     def _bytes_of(self, text: str) -> bytes:
         return _packed([self.bytes[b] for b in text.encode("utf-8", "surrogatepass")])
@@ -110,8 +112,6 @@ class Codec(dict):
         at the border is cheaper than either side's next step.
         """
         key = left << 32 | right
-        if key in self.fits:
-            return self.fits[key]
         a, b = self._merges(left), self._merges(right)
         if len(self.fits) > 8 * KEPT:
             self.fits.clear()
@@ -134,29 +134,38 @@ class Codec(dict):
                 first, j = b[2][j][1], j + 1
 
     def __missing__(self, stretch: str) -> bytes:
-        if stretch[0] in self.letters:
-            found = b"".join(self.ids[p] for p in self.pieces_of(stretch))
-        else:
-            found = self._bytes_of(stretch)
+        found = self.older.get(stretch)
+        if found is None:
+            if stretch[0] in self.letters:
+                ids = self.ids
+                found = b"".join([ids[p] for p in self.pieces_of(stretch)])
+            else:
+                found = self._bytes_of(stretch)
         if len(stretch) <= KEPT_CHARS:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
             self[stretch] = found
         return found
 
     def pieces_of(self, text: str) -> list[int]:
         """Places in ``pieces`` of a text of ``letters``."""
-        last = np.full(len(text) + 1, -1, dtype=np.int32)
-        table, size = memoryview(last), self.pieces
+        last, fits, sizes = [-1] * (len(text) + 1), self.fits, self.sizes
         for at, piece in self.automaton.iter(text):
-            start = at + 1 - len(size[piece])
-            if table[at + 1] < 0 and (self._merges(piece) is not None if start == 0 else table[start] >= 0 and self.fit(table[start], piece)):
-                table[at + 1] = piece
+            at += 1
+            if last[at] < 0:
+                if start := at - sizes[piece]:
+                    fit = fits.get(last[start] << 32 | piece)
+                    if self.fit(last[start], piece) if fit is None else fit:
+                        last[at] = piece
+                elif self._merges(piece) is not None:
+                    last[at] = piece
         found, at = [], len(text)
         while at:
-            found.append(table[at])
-            at -= len(size[table[at]])
-        return found[::-1]
+            found.append(last[at])
+            at -= sizes[last[at]]
+        found.reverse()
+        return found
 
     def encode(self, text: str) -> bytes:
         """Ids with begin and end, as little-endian unsigned 32-bit integers."""
