@@ -30,13 +30,25 @@ def steps(spark):
     return out
 
 
-def test_language_stage(steps):
-    """A text goes where no letter tells a language; the network's answer for the others is a language it knows."""
+def test_language_stage(spark, steps):
+    """A text goes where no letter tells a language, or where the network gives no language half of its probability."""
     _, docs, given, columns = steps[0]
-    want = {i for i, r in rows_of(docs).items() if r["text"] and any(map(str.isalpha, r["text"]))}
-    assert columns == P.COLUMNS and sorted(r["doc_id"] for r in given) == sorted(want)
+    lettered = {i for i, r in rows_of(docs).items() if r["text"] and any(map(str.isalpha, r["text"]))}
+    told = {r["doc_id"]: r for r in language_id.languages(docs, F.col("lang").isNotNull()).collect()}
     known = {r["lang"] for r in docs.select("lang").distinct().collect()} - {None}
-    assert {r["lang_pred"] for r in language_id.languages(docs, F.col("lang").isNotNull()).collect()} <= known | {"und"}
+    assert {i for i, r in told.items() if r["lang_pred"] != "und"} == lettered and {told[i]["lang_pred"] for i in lettered} <= known
+    assert columns == P.COLUMNS and sorted(r["doc_id"] for r in given) == sorted(i for i in lettered if told[i]["score"] >= 0.5)
+    # A text of two languages in equal parts is none's; a row without language gets the predicted one.
+    lines = {lang: [r["text"] for r in docs.where(F.col("lang") == lang).limit(40).collect()] for lang in ("en", "fr", "de", "es")}
+    mixed = ["\n".join(x[:500] for x in every) for every in zip(*lines.values())]
+    rows = [(10**6 + i, t, None, "s", 1) for i, t in enumerate(mixed)] + [(2 * 10**6 + i, t, None, "s", 1) for i, t in enumerate(lines["de"])]
+    more = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r["doc_id"]: r for r in P.identify_languages(spark, more, SF).collect()}
+    told = {r["doc_id"]: r for r in language_id.languages(more, F.col("lang").isNotNull()).collect()}
+    assert kept.keys() == {i for i, r in told.items() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    assert sum(i in kept for i in range(10**6, 10**6 + len(mixed))) < 0.5 * len(mixed)
+    german = [kept[i]["lang"] for i in range(2 * 10**6, 2 * 10**6 + len(lines["de"])) if i in kept]
+    assert german.count("de") > 0.9 * len(lines["de"])
 
 
 def test_quality_stage(spark, steps):
