@@ -18,11 +18,18 @@ from tidewave.session import ship_package, table
 #: Columns of documents, which all stages but the last return.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Least probability of the predicted language.
+LEAST_SURE = 0.5
+
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in which no language can be told go."""
+    """Texts in which no language can be told go, and those of which no language is likelier than all others together.
+
+    A document without ``lang`` gets the predicted one.
+    """
     found = language_id.languages(docs, F.col("lang").isNotNull(), COLUMNS)
-    return found.where("lang_pred != 'und'").select(*COLUMNS)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
