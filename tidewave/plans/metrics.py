@@ -262,10 +262,10 @@ _FSM = _BLOCKS + """, rate as (select zmw, mb, activity = 'MULTI' as hq, avg(cas
 """
 
 
-def machine_spans(spark: SparkSession, sf: str) -> DataFrame:
+def machine_spans(activities: DataFrame) -> DataFrame:
     """Stretches in the high state of a machine that rises where many good blocks are ahead, and falls where few are on either side."""
     hit = (F.col("activity") == "MULTI").cast("double")
-    r = blocks(spark, sf).select("zmw", "mb", (F.col("activity") == "MULTI").alias("hq"), F.avg(hit).over(by_block().rowsBetween(0, 9)).alias("ahead"), F.avg(hit).over(by_block().rowsBetween(-9, 0)).alias("behind"))
+    r = activities.select("zmw", "mb", (F.col("activity") == "MULTI").alias("hq"), F.avg(hit).over(by_block().rowsBetween(0, 9)).alias("ahead"), F.avg(hit).over(by_block().rowsBetween(-9, 0)).alias("behind"))
     turn = F.when(F.col("hq") & (F.col("ahead") >= 0.3), 1).when((F.col("ahead") < 0.1) & (F.col("behind") < 0.3), 0)
     s = r.withColumn("s", F.last(turn, ignorenulls=True).over(by_block()))
     s = s.where("s = 1").withColumn("run", F.col("mb") - F.row_number().over(by_block()))
@@ -275,8 +275,13 @@ def machine_spans(spark: SparkSession, sf: str) -> DataFrame:
 @query(_FSM + "select zmw, begin_mb, end_mb, hits from (select *, row_number() over (partition by zmw order by hits desc, begin_mb) as r from spans) where r = 1")
 def hq_machine(spark: SparkSession, sf: str) -> DataFrame:
     """The stretch with the most good blocks of a two-state machine with a window of ten blocks."""
+    return machine_regions(blocks(spark, sf))
+
+
+def machine_regions(activities: DataFrame) -> DataFrame:
+    """The same over blocks (zmw, mb, activity) from any source."""
     best = F.row_number().over(Window.partitionBy("zmw").orderBy(F.desc("hits"), "begin_mb"))
-    return machine_spans(spark, sf).withColumn("r", best).where("r = 1").drop("r")
+    return machine_spans(activities).withColumn("r", best).where("r = 1").drop("r")
 
 
 @query(_FSM + """select zmw, 'machine' as method, min(begin_mb) as begin_mb, max(end_mb) as end_mb from (select *, row_number() over (partition by zmw order by hits desc, begin_mb) as r from spans) where r = 1 group by zmw

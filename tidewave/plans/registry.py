@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from tidewave.plans import fitted, metrics, reads, relations, signals
+from tidewave.plans import activity, estimation, fitted, metrics, reads, relations, signals
 from tidewave.streaming import blocks
 
 
 def queries() -> dict:
-    return signals.QUERIES | relations.QUERIES | metrics.QUERIES | reads.QUERIES | fitted.QUERIES | blocks.QUERIES
+    return signals.QUERIES | relations.QUERIES | metrics.QUERIES | reads.QUERIES | fitted.QUERIES | activity.QUERIES | estimation.QUERIES | blocks.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return signals.SQL | relations.SQL | metrics.SQL | reads.SQL
+    return signals.SQL | relations.SQL | metrics.SQL | reads.SQL | activity.SQL | estimation.SQL

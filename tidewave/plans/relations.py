@@ -71,16 +71,9 @@ def reduce_subsample(spark: SparkSession, sf: str) -> DataFrame:
     return cells(spark, sf).where("x % 10 = 0 and y % 10 = 0").select(F.floor(F.col("x") / 10).alias("bx"), F.floor(F.col("y") / 10).alias("by"), "v")
 
 
-@query(_CELL + """select g.gx, g.gy, c.v from (select unnest(range(0, 50)) as gx) a, lateral (select a.gx, unnest(range(0, 5)) as gy) g left join cell c on c.x = g.gx and c.y = g.gy""")
-def grid_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    """A dense grid with the cells that there are."""
-    grid = spark.range(50).select(F.col("id").alias("gx")).select("gx", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("gy"))
-    return grid.join(cells(spark, sf).select(F.col("x").alias("gx"), F.col("y").alias("gy"), "v"), ["gx", "gy"], "left")
-
-
 @query(_CELL + """, height as (select max(y) as top from cell) select g.gx, g.gy, c.v from (select a.gx, unnest(range(0, top + 1)) as gy from (select unnest(range(0, 50)) as gx) a, height) g left join cell c on c.x = g.gx and c.y = g.gy""")
 def grid_left_join_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """The dense grid as high as the cells reach, so that every cell is in it; ``grid_left_join`` is the window of five rows that its SQL fixes."""
+    """The dense grid as high as the cells reach, so that every cell is in it."""
     c = cells(spark, sf)
     top = c.agg(F.max("y")).first()[0]  # one row
     grid = spark.range(0 if top is None else 50 * (top + 1)).select((F.col("id") % 50).alias("gx"), F.expr("id div 50").alias("gy"))

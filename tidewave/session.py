@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +26,20 @@ def ship_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet in the folder that all machines share (``spark.checkpoint.dir``) and read it back.
+
+    Only a session on one machine without that setting gets a folder of its own.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tidewave-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
