@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,7 +22,23 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least probability of the predicted language.
 LEAST_SURE = 0.5
 
+#: Rows of a batch that goes to Python and back: texts can be long, and both sides hold whole batches.
+BATCH_ROWS = 1000
 
+
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in a session whose Arrow batches are no larger than BATCH_ROWS rows."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        spark.conf.set(name, str(min(BATCH_ROWS, int(spark.conf.get(name)) if int(spark.conf.get(name)) > 0 else BATCH_ROWS)))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in which no language can be told go, and those of which no language is likelier than all others together.
 
@@ -32,12 +49,14 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
+@in_small_batches
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose probability of good quality is below 0.3."""
     found = line_crf.quality(docs, table(spark, sf_dir, "labels"), F.lit(True), COLUMNS)
     return found.where("score >= 0.3").select(*COLUMNS)
 
 
+@in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each class of near copies stays, in one row where several bear its id; so do rows without an id.
 
@@ -52,12 +71,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return without(kept, again).unionByName(one.select(*COLUMNS))
 
 
+@in_small_batches
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item go."""
     found = stored(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"), "leaks")
     return without(docs.select(*COLUMNS), found)
 
 
+@in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences."""
     return packing.packed(docs, str(public_tokenizers.path("word_bpe_49k.json")))
