@@ -22,17 +22,18 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least probability of the predicted language.
 LEAST_SURE = 0.5
 
-#: Rows of a batch that goes to Python and back: texts can be long, and both sides hold whole batches.
-BATCH_ROWS = 1000
+#: Bytes and rows of a batch that goes to Python and back: texts can be long, and both sides hold whole batches.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 
 
 def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """The stage in a session whose Arrow batches are no larger than BATCH_ROWS rows."""
+    """The stage in a session whose Arrow batches are no larger than BATCH_BYTES bytes (or one row) and BATCH_ROWS rows."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         name = "spark.sql.execution.arrow.maxRecordsPerBatch"
         spark.conf.set(name, str(min(BATCH_ROWS, int(spark.conf.get(name)) if int(spark.conf.get(name)) > 0 else BATCH_ROWS)))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         return stage(spark, docs, sf_dir)
 
     return run_stage

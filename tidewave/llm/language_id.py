@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidewave.llm.common import Adam, batches_of, drawn, stored
 
@@ -158,26 +157,33 @@ def languages(docs: DataFrame, learn: Column, carry: list[str] | None = None) ->
     net = fit(docs, learn)
     held = docs.sparkSession.sparkContext.broadcast(net)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang_pred string, score double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net = held.value
         tables = net.tables() if net else ()
-        for b in batches_of(batches, 128):
-            texts = b.column("text").to_pylist()
-            spoken = np.array([bool(net) and bool(t) and any(map(str.isalpha, t)) for t in texts])
-            langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-            if spoken.any():
-                at = np.flatnonzero(spoken)
-                grid, owner, weight = cut([texts[i] for i in at])
-                logs = np.concatenate([net.log_probs(grid[k : k + 8], tables) for k in range(0, len(grid), 8)])
-                sums = np.zeros((len(at), len(net.langs)))
-                np.add.at(sums, owner, logs * weight[:, None])
-                sums /= np.bincount(owner, weight)[:, None]
-                best = sums.argmax(axis=1)
-                scores[at] = np.exp(sums.max(axis=1)) / np.exp(sums).sum(axis=1)
-                for i, k in zip(at, best):
-                    langs[i] = net.langs[k]
-            yield pa.record_batch([*map(b.column, carry), pa.array(langs), pa.array(scores)], [*carry, "lang_pred", "score"])
+        for b in batches:
+            parts = [_told(net, tables, b.slice(k, 128).to_pylist()) for k in range(0, len(b), 128)]
+            yield pa.StructArray.from_arrays([pa.array([x for p in parts for x in p[0]], pa.string()), pa.array([x for p in parts for x in p[1]], pa.float64())], ["lang_pred", "score"])
 
     carry = carry or ["doc_id"]
-    shape = StructType(docs.select(*carry).schema.fields).add("lang_pred", "string").add("score", "double")
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(score, shape)
+    # Only texts go to Python, and nothing of them comes back. Not deterministic, so that a filter on the result scores no text twice.
+    told = docs.select(*carry, score.asNondeterministic()(F.col("text")).alias("_told"))
+    return told.select(*carry, "_told.lang_pred", "_told.score")
+
+
+def _told(net: ByteNet | None, tables: tuple, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The languages of texts and their probabilities."""
+    spoken = np.array([bool(net) and bool(t) and any(map(str.isalpha, t)) for t in texts])
+    langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+    if spoken.any():
+        at = np.flatnonzero(spoken)
+        grid, owner, weight = cut([texts[i] for i in at])
+        logs = np.concatenate([net.log_probs(grid[k : k + 8], tables) for k in range(0, len(grid), 8)])
+        sums = np.zeros((len(at), len(net.langs)))
+        np.add.at(sums, owner, logs * weight[:, None])
+        sums /= np.bincount(owner, weight)[:, None]
+        best = sums.argmax(axis=1)
+        scores[at] = np.exp(sums.max(axis=1)) / np.exp(sums).sum(axis=1)
+        for i, k in zip(at, best):
+            langs[i] = net.langs[k]
+    return langs, scores.tolist()
