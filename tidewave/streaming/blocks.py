@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,6 +54,18 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{at}/rows")
 
 
+@contextlib.contextmanager
+def with_rocks(spark: SparkSession) -> Iterator[None]:
+    """The state store that these operators need, for the queries that start meanwhile."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def day_counts(events: DataFrame) -> DataFrame:
     """Counts of days and kinds of a table or a stream of events."""
     counts = events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 day"), "event_type").agg(F.count("*").alias("n"))
@@ -96,14 +109,9 @@ class Blocks(StatefulProcessor):
 def stream_full_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Full blocks of every key from the stream of events, which come in order of their ids."""
     ship_package(spark)
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # what this operator needs
-    try:
-        e = event_stream(spark, sf).select("user_id", "event_id", "event_type", "value")
+    e = event_stream(spark, sf).select("user_id", "event_id", "event_type", "value")
+    with with_rocks(spark):
         return drain(e.groupBy("user_id").transformWithStateInPandas(Blocks(), "zmw long, mb long, pulses long, bases long, mean double", "Append", "None"))
-    finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
 @query
