@@ -25,15 +25,22 @@ LEAST_SURE = 0.5
 #: Bytes and rows of a batch that goes to Python and back: texts can be long, and both sides hold whole batches.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 
+#: Allocator of the Python workers: large buffers go back to the system once freed, so that a worker that waits between stages
+#: doesn't hold the most that any stage before took.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """The stage in a session whose Arrow batches are no larger than BATCH_BYTES bytes (or one row) and BATCH_ROWS rows."""
+    """The stage in a session whose Arrow batches are no larger than BATCH_BYTES bytes (or one row) and BATCH_ROWS rows,
+    with Python workers that have WORKER_MEMORY. Both stay set for the session.
+    """
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         name = "spark.sql.execution.arrow.maxRecordsPerBatch"
         spark.conf.set(name, str(min(BATCH_ROWS, int(spark.conf.get(name)) if int(spark.conf.get(name)) > 0 else BATCH_ROWS)))
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        spark.sparkContext.environment.update(WORKER_MEMORY)
         return stage(spark, docs, sf_dir)
 
     return run_stage
