@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -109,6 +110,19 @@ def test_op1_blocks_equal_brute_force(spark, monkeypatch):
     assert {tuple(r) for r in ngram_join.shingle_classes(df).collect()} == brute_classes(rows)
 
 
+def test_op1_deals_prefixes_to_blocks_and_each_set_once(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, np.where(rng.random(60) < 0.02 * (i % 5), rng.integers(0, 9, 60), np.arange(60) + 60 * (i // 20)))) for i in range(60)]
+    sets, rank = [ngram_join.shingles(t) for t in texts], np.zeros(ngram_join.BITS // 8, dtype=np.uint8)
+    rows = [{"rep": i, "n": len(x), "part": i % 7, "role": k, "start": x[: ngram_join.prefix_size(len(x))].view(np.int64)} for k in (0, 1) for i, x in enumerate(sets)]
+    got = {tuple(r) for r in ngram_join._cross(pd.DataFrame(rows), rank).itertuples(index=False)}
+    link = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7 and 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+    assert link and link <= got and len(got) < 30 * 59 / 2
+    pairs, base = spark.createDataFrame([(1, 2)], "a long, b long"), spark.createDataFrame([(1, "a b"), (2, "a c")], "doc_id long, text string")
+    plan = ngram_join._verified(pairs, ngram_join._sets(base, pairs))._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert not re.search(r"hashpartitioning\(rep#\d+L?, held", plan)
+
+
 def test_op1_odd_rows(odd, empty):
     found = sorted({tuple(r) for r in ngram_join.shingle_classes(odd).collect()})
     assert found == sorted(brute_classes([(r[0], r[1]) for r in odd_rows()]))

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewave.llm.common import BITS, batches_of, bit_of, bitmap, stored, words_of
@@ -22,8 +22,10 @@ PERCENT = 75
 HOT, BAND = 24, 0.36
 #: Second hubs of lists that have the same members.
 HUBS = 8
+#: Shingles of a matrix product of a block.
+GRID = 4096
 #: Pairs of strays and members of a hub from which these are compared in blocks, and rows of a block.
-CROWD, CHUNK = 4_000, 256
+CROWD, CHUNK = 4_000, 1024
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
@@ -51,7 +53,7 @@ def prefix_size(n: np.ndarray | int) -> np.ndarray | int:
 
 def _sum_slots(rows: pd.DataFrame) -> pd.DataFrame:
     slots = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["slots"]])
-    counts = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["counts"]])
+    counts = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in rows["counts"]])
     held, back = np.unique(slots, return_inverse=True)
     return pd.DataFrame({"slot": held[np.bincount(back, counts) >= HOT].astype(np.int64) % BITS})
 
@@ -85,7 +87,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 def _parted(seen: list[np.ndarray], parts: int) -> pa.RecordBatch:
     held, counts = np.unique(np.concatenate(seen), return_counts=True)
     cuts = np.searchsorted(held, (np.arange(parts, dtype=np.uint64) * (1 << 32) // parts).astype(np.uint32))[1:]
-    columns = [pa.array(np.arange(parts))] + [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (held, counts.astype(np.uint32))]
+    columns = [pa.array(np.arange(parts))] + [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (held, np.minimum(counts, HOT).astype(np.uint8))]
     return pa.record_batch(columns, ["part", "slots", "counts"])
 
 
@@ -115,12 +117,34 @@ def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int, rank: np.ndarray) -
     return 100 * bound >= PERCENT * (nx + ny - bound)
 
 
+def _marked(rows: DataFrame, key: str, values: DataFrame):
+    """``rows`` whose ``key`` has a bit set (1), or not (0), by a map of the bits of ``values`` (id): told where they are read."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    marks = rows.sparkSession.sparkContext.broadcast(bitmap(values.select(slot("id").alias("slot"))))
+    columns, schema = rows.columns, rows.schema
+
+    def told(bit: int) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches_of(batches, 1024):
+                yield b.select(columns).filter(pa.array(bit_of(marks.value, b.column("_slot").to_numpy()) == bit))
+
+        return rows.withColumn("_slot", slot(key)).mapInArrow(keep, schema)
+
+    return told
+
+
+def _starts(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rep, n, start) of the ends of ``pairs`` (a, b), and of few others: prefixes are long, and most sets are in no pair."""
+    return _marked(reps.select("rep", "n", "start"), "rep", pairs.select(F.explode(F.array("a", "b")).alias("id")))(1)
+
+
 def _possible(pairs: DataFrame, reps: DataFrame, order) -> DataFrame:
     """The distinct ``pairs`` (a, b) that sizes and prefixes let link."""
     size = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"))
-    start = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("start").alias(f"s{k}"))
     fits = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
-    sized = pairs.join(size("a"), "a").join(size("b"), "b").where(fits).select("a", "b").distinct()
+    sized = stored(pairs.join(size("a"), "a").join(size("b"), "b").where(fits).select("a", "b").distinct(), "sized")
+    starts = _starts(reps, sized)
+    start = lambda k: starts.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("start").alias(f"s{k}"))
     both = sized.join(start("a"), "a").join(start("b"), "b").where(fits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +175,8 @@ def _sets(base: DataFrame, pairs: DataFrame) -> DataFrame:
             keep = [i for i, h in enumerate(held) if len(h)]
             yield pa.record_batch([part.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([held[i].tobytes() for i in keep], pa.binary())], ["rep", "held"])
 
-    return base.select("doc_id", "text", slot("doc_id").alias("slot")).mapInArrow(load, "rep long, held binary").distinct()
+    read = base.where("doc_id is not null").select("doc_id", "text", slot("doc_id").alias("slot")).mapInArrow(load, "rep long, held binary")
+    return read.groupBy("rep").agg(F.first("held").alias("held"))  # rows of one id have one text; dealt as the joins need it
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -177,45 +202,46 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(meet, "a long, b long, both long, whole long")
 
 
-def _cross(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of a block of strays with a block of members, as links to the root of what they connect."""
-    held = [np.frombuffer(x, dtype=np.uint64) for x in rows["held"]]
+def _cross(rows: pd.DataFrame, rank: np.ndarray) -> pd.DataFrame:
+    """Pairs of a block of strays and a block of members, of different components, that sizes and prefixes let link."""
+    held = [np.asarray(x, dtype=np.int64).view(np.uint64) for x in rows["start"]]
     left, right = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
-    ids, size = rows["rep"].to_numpy(), np.array([len(h) for h in held])
+    ids, parts, size = (rows[c].to_numpy() for c in ("rep", "part", "n"))
+    known = np.array([len(h) for h in held], dtype=np.int64)
     if not len(left) or not len(right):
         return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
     names = np.intersect1d(np.concatenate([held[i] for i in left]), np.concatenate([held[i] for i in right]))
     both = np.zeros((len(left), len(right)), dtype=np.float32)
-    for k in range(0, len(names), 16384):  # matrix products over parts of the shingles
-        part = names[k : k + 16384]
-        sides = []
-        for side in (left, right):
-            grid = np.zeros((len(side), len(part)), dtype=np.float32)
-            for row, i in enumerate(side):
-                at = np.searchsorted(part, held[i])
-                at = at[(at < len(part)) & (part[np.minimum(at, len(part) - 1)] == held[i])]
-                grid[row, at] = 1
-            sides.append(grid)
-        both += sides[0] @ sides[1].T
-    near = both * 100 >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
-    low = np.arange(len(rows))
-    while True:
-        new = low.copy()
-        new[left] = np.minimum(low[left], np.where(near, low[right][None, :], len(rows)).min(axis=1))
-        new[right] = np.minimum(new[right], np.where(near, new[left][:, None], len(rows)).min(axis=0))
-        new = new[new]
-        if (new == low).all():
-            break
-        low = new
-    tied = ids != ids[low]
-    return pd.DataFrame({"a": ids[tied], "b": ids[low[tied]]})
-
-
-def _blocks(crowd: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect what links among the strays and members of each hub's ``crowd`` (hub, rep, stray, block).
+    sides = []
+    for side in (left, right):  # the common shingles of each side, by row
+        row, every = np.repeat(np.arange(len(side)), known[side]), np.concatenate([held[i] for i in side])
+        at = np.searchsorted(names, every)
+        hit = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == every) if len(names) else np.zeros(len(every), dtype=bool)
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((row[hit][order], at[hit][order]))
+    for k in range(0, len(names), GRID):  # matrix products over parts of the shingles
+        grids = []
+        for side, (row, at) in zip((left, right), sides):
+            cut = slice(*np.searchsorted(at, [k, k + GRID]))
+            grid = np.zeros((len(side), min(GRID, len(names) - k)), dtype=np.float32)
+            grid[row[cut], at[cut] - k] = 1
+            grids.append(grid)
+        both += grids[0] @ grids[1].T
+    # Up to the lesser end of two prefixes all common members are known; one of the two ends is it.
+    rest, total = size - known, size[left][:, None] + size[right][None, :]
+    bound = np.minimum(both + np.maximum(rest[left][:, None], rest[right][None, :]), np.minimum(size[left][:, None], size[right][None, :]))
+    x, y = np.nonzero((100 * bound >= PERCENT * (total - bound)) & (parts[left][:, None] != parts[right][None, :]))
+    x, y = left[x], right[y]
+    good = np.array([may_link(held[i], int(size[i]), held[j], int(size[j]), rank) for i, j in zip(x, y)], dtype=bool)
+    x, y = x[good], y[good]
+    return pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y])})
+
+
+def _blocks(crowd: DataFrame, starts: DataFrame, order) -> DataFrame:
+    """Distinct pairs (a, b) that may link among the strays and members of each hub's ``crowd`` (hub, rep, part, stray, block).
 
     Strays of a size class meet members of the same and the neighbouring classes only, in blocks of at most about CHUNK
-    strays and as many members, each in a task of its own.
+    strays and as many members, each in a task of its own. Only prefixes are dealt to the blocks.
     """
     sizes = crowd.groupBy("hub", "block").agg(F.ceil(F.sum("stray") / CHUNK).cast("int").alias("across"), F.ceil(F.count("*") / CHUNK).cast("int").alias("down"))
     meet = (
@@ -226,11 +252,12 @@ def _blocks(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     key = ["hub", "block", "other", "x", "y"]
     roles = [
-        crowd.where("stray = 1").join(meet, ["hub", "block"]).select("rep", "hub", "block", "other", own("across").alias("x"), every("down").alias("y"), F.lit(0).alias("role")),
-        crowd.select("hub", "rep", F.col("block").alias("other")).join(meet, ["hub", "other"])
-        .select("rep", "hub", "block", "other", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
+        crowd.where("stray = 1").join(meet, ["hub", "block"]).select("rep", "part", "hub", "block", "other", own("across").alias("x"), every("down").alias("y"), F.lit(0).alias("role")),
+        crowd.select("hub", "rep", "part", F.col("block").alias("other")).join(meet, ["hub", "other"])
+        .select("rep", "part", "hub", "block", "other", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
     ]
-    return roles[0].unionByName(roles[1]).join(sets, "rep").groupBy(*key).applyInPandas(_cross, "a long, b long")
+    dealt = roles[0].unionByName(roles[1]).join(starts, "rep").groupBy(*key)
+    return dealt.applyInPandas(lambda rows: _cross(rows, order.value), "a long, b long").distinct()
 
 
 def shingle_classes(docs: DataFrame) -> DataFrame:
@@ -304,14 +331,17 @@ def _described(base: DataFrame) -> tuple[DataFrame, object]:
 
 
 def _classes(base: DataFrame, described: DataFrame, order) -> DataFrame:
+    # Most sets occur once; only those of the others are dealt by their digest, with what shares a bit with them.
+    keyed = described.where("key is not null")
+    several = keyed.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select(F.col("key").alias("id"))
+    told = _marked(keyed, "key", several)
     reps = stored(
-        described.where("key is not null").groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("start").alias("start")),
+        told(0).select("key", F.col("doc_id").alias("rep"), "n", "start").unionByName(
+            told(1).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("start").alias("start"))),
         "classes",
     )
     index = reps.select("rep", "n", F.posexplode("start").alias("pos", "token"))
-    counts = index.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-    shared = stored(index.join(counts, "token"), "shared")
+    shared = stored(index.withColumn("members", F.count("*").over(Window.partitionBy("token"))).where("members > 1"), "shared")
     # The hub of a list is its most central member: the one whose prefix the most sets share.
     central = shared.groupBy("rep").agg((F.sum("members") / F.max(F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).alias("fame"))
     hubs = shared.select("token", "rep").join(central, "rep").groupBy("token").agg(F.max(F.struct("fame", "rep"))["rep"].alias("hub"))
@@ -357,16 +387,16 @@ def _classes(base: DataFrame, described: DataFrame, order) -> DataFrame:
     # A linking partner is at most 1 / t times as large: the same size class or the next.
     ratio = float(np.log(100 / PERCENT))
     open_lists = stored(open_lists.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")), "members")
-    # What gathers around one hub, and is much, is compared in blocks of whole sets; the rest by shared members.
-    around = stored(open_lists.groupBy("hub", "rep", "block").agg(F.max((F.col("part") != F.col("main")).cast("int")).alias("stray")), "around")
+    # What gathers around one hub, and is much, is compared in blocks of prefixes; the rest by shared members.
+    around = stored(open_lists.groupBy("hub", "rep", "block").agg(F.first("part").alias("part"), F.max((F.col("part") != F.col("main")).cast("int")).alias("stray")), "around")
     crowds = (
         around.groupBy("hub").agg(F.count("*").alias("members"), F.sum("stray").alias("strays"))
         .where(F.col("members") * F.col("strays") >= CROWD).select("hub")
     )
     crowd = stored(around.join(crowds, "hub"), "crowd")
     if not crowd.isEmpty():
-        found = _blocks(crowd, _sets(base, crowd.select(F.col("rep").alias("a"), F.col("hub").alias("b"))))
-        links = stored(links.unionByName(found), "links")
+        near = stored(_blocks(crowd, _starts(reps, crowd.select(F.col("rep").alias("a"), F.col("rep").alias("b"))), order), "near")
+        links = stored(links.unionByName(_verified(near, _sets(base, near)).where(linked).select("a", "b")), "links")
         groups = connected_components(links)
     sparse = open_lists.join(crowds, "hub", "left_anti")
     strays = sparse.where("part != main").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
