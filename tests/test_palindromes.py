@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tidewave.plans import palindromes as P
+from tidewave.plans.relations import turned_pairs
 
 SWAP = str.maketrans("ACGT", "TGCA")
 
@@ -152,6 +153,20 @@ def test_chain_equals_all_pairs():
         assert got == plain_chain(list(zip(at.tolist(), density.tolist())), 3000, insert, unit, support)
 
 
+def test_pairs_of_a_sequence_need_no_shuffle(spark):
+    """Sequences in one row meet themselves where they are read; an id with two rows, and null ids, as the join has it."""
+    rows = [(i, s) for i, s in reads_of(1).items()]
+    df = spark.createDataFrame([*rows, (None, "AC" * 20 + "GT" * 20)], "doc_id long, s string").where("doc_id is not null")
+    for data in (df, df.unionByName(spark.createDataFrame([(0, "ACGTTGCA" * 9), (101, None)], df.schema))):
+        each = {}
+        for key, s in ((r["doc_id"], r["s"]) for r in data.collect()):
+            each.setdefault(key, []).extend((i, s[i : i + 12]) for i in range(len(s or "") - 11))
+        want = sorted((key, i, j) for key, x in each.items() for i, a in x for j, b in x if j >= i + 12 and b == a.translate(SWAP)[::-1])
+        assert sorted(map(tuple, turned_pairs(data, 12).collect())) == want and len(want) > 1000
+    for plan in (turned_pairs(df, 12), P.found(df)):
+        assert "Exchange" not in plan._jdf.queryExecution().toString().split("Physical Plan")[1]
+
+
 def test_planted_turns_are_found(spark):
     """Reads derived from the tables turn after the first and the second pass; hardly another place is called where letters are many."""
     reads = P.molecules(spark, "/root/testdata/sf0.001")

@@ -2,7 +2,7 @@
 
 A read passes over the same insert to and fro; where it turns, what follows is the reverse complement of what came before.
 Reads here are derived from documents: the letters, their reverse complement, the letters again, with letters lost in each
-later pass. All steps but the chain are windows over one read's rows, dealt by read; a task holds one read's seeds in each.
+later pass. Seeds are met where a read is read; the later steps but the chain are windows over one read's hits, dealt by read.
 A read without hits (empty, null, shorter than two seeds) has no row. Rows of one id are one read to the windows, so ids must be distinct.
 """
 
@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewave.functions import columns as C
-from tidewave.plans.relations import kmers, sequences
+from tidewave.operators import kernels
+from tidewave.plans.relations import by_sequence, sequences
 from tidewave.session import ship_package, written
 
 QUERIES, SQL = {}, {}
@@ -49,23 +50,10 @@ def found(reads: DataFrame, k: int = K) -> DataFrame:
 
     A place is remembered until its seed comes again, or until a reverse complement at ``k`` letters or more uses it; used places
     are forgotten. So a hit needs that no seed of its own strand came since the other's last place could be used, and a repeat
-    that no hit used the place before: both can be told from the last place of either strand.
+    that no hit used the place before: both can be told from the last place of either strand. Each row is a read, told where it is read.
     """
-    code = lambda s: F.conv(s, 4, 10).cast("long")
-    own, other = code(F.translate("kmer", "ACGT", "0123")), code(F.translate(F.reverse("kmer"), "ACGT", "3210"))
-    each = kmers(reads, k).select("doc_id", "place", own.alias("own"), other.alias("other"))
-    each = each.select("doc_id", "place", F.least("own", "other").alias("seed"), (F.col("own") <= F.col("other")).alias("plus"))
-    w = Window.partitionBy("doc_id", "seed").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.select("*", F.last(F.when(F.col("plus"), F.col("place")), True).over(w).alias("p"), F.last(F.when(~F.col("plus"), F.col("place")), True).over(w).alias("m"))
-    each = each.select("doc_id", "place", F.when(F.col("plus"), F.col("p")).otherwise(F.col("m")).alias("same"), F.when(F.col("plus"), F.col("m")).otherwise(F.col("p")).alias("across"))
-    hit = F.expr(f"place - across >= {k} and (same is null or same < across + {k})")
-    again = F.expr(f"place - same > {REPEAT} and (across is null or across < same + {k})")
-    both = F.array(F.when(hit, _span(True, "across", F.col("place") + k - 1)), F.when(again, _span(False, "same", F.col("place"))))
-    return each.where(hit | again).select("doc_id", F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x")).select("doc_id", "x.*")
 
-
-def _span(turned: bool, fwd: str, rev: Column) -> Column:
-    return F.struct(F.lit(turned).alias("turned"), F.col(fwd).alias("fwd"), rev.alias("rev"))
+    return by_sequence(reads, lambda s: [kernels.seeds_met(s, k, REPEAT)], "turned boolean, fwd long, rev long")
 
 
 _MOLECULES = """with seq as (select doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') as s from documents where text is not null),
@@ -83,6 +71,7 @@ _MOLECULES = """with seq as (select doc_id, regexp_replace(upper(text), '[^ACGT]
  union all select doc_id, false as turned, same as fwd, place as rev from b where place - same > 100 and (across is null or across < same + 15)""")
 def palindrome_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Seeds met by their reverse complement, each place used once, and seeds that come again."""
+    ship_package(spark)
     return found(molecules(spark, sf))
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewave.functions import columns as C
+from tidewave.operators import kernels as K
 from tidewave.plans.signals import PULSE, blocks
-from tidewave.session import table
+from tidewave.session import ship_package, table
 from tidewave.sources.readers import pulses
 
 QUERIES, SQL = {}, {}
@@ -216,6 +221,31 @@ def homopolymer_compress(spark: SparkSession, sf: str) -> DataFrame:
     return sequences(spark, sf).select("doc_id", C.compress_runs(F.col("s")).alias("compressed"))
 
 
+def by_sequence(rows: DataFrame, found: Callable[[str], Iterable[tuple[np.ndarray, ...]]], shape: str, most: int = 100_000) -> DataFrame:
+    """(doc_id, then ``shape``): what ``found`` gives, in arrays, for each sequence (doc_id, s), where it is read. Null counts as empty."""
+    names = ["doc_id", *(x.split()[0] for x in shape.split(", "))]
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+
+        def taken() -> pa.RecordBatch:
+            keys = pa.concat_arrays([pa.repeat(key, len(x[0])) for key, x in held])
+            return pa.record_batch([keys, *(pa.array(np.concatenate(x)) for x in zip(*(x for _, x in held)))], names)
+
+        for b in batches:
+            for key, s in zip(b.column("doc_id"), b.column("s").to_pylist()):
+                for x in found(s or ""):
+                    held.append((key, x))
+                    waiting += len(x[0])
+                    if waiting >= most:
+                        yield taken()
+                        held, waiting = [], 0
+        if held:
+            yield taken()
+
+    return rows.select("doc_id", "s").mapInArrow(told, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {shape}")
+
+
 def kmers(df: DataFrame, k: int) -> DataFrame:
     """Every run of k letters with its place, from 0. A long sequence is cut into pieces first, as a place is found by counting letters."""
     pieces = F.explode(F.sequence(F.lit(0), F.expr(f"(length(s) - {k}) div 256"))).alias("c")
@@ -239,9 +269,23 @@ def kmer_join(spark: SparkSession, sf: str) -> DataFrame:
  select a.doc_id, a.place as fwd, b.place as rev from k a join k b on a.doc_id = b.doc_id and b.kmer = reverse(translate(a.kmer, 'ACGT', 'TGCA')) and b.place >= a.place + 12""")
 def palindrome_kmers(spark: SparkSession, sf: str) -> DataFrame:
     """Places whose reverse complement follows in the same sequence."""
-    k = kmers(sequences(spark, sf), 12)
-    r = k.select("doc_id", F.col("place").alias("fwd"), C.reverse_complement(F.col("kmer")).alias("kmer"))
-    return r.join(k, ["doc_id", "kmer"]).where("place >= fwd + 12").select("doc_id", "fwd", F.col("place").alias("rev"))
+    ship_package(spark)
+    return turned_pairs(sequences(spark, sf).where("doc_id is not null"), 12)
+
+
+def turned_pairs(rows: DataFrame, k: int) -> DataFrame:
+    """(doc_id, fwd, rev) of all runs of ``k`` letters of a sequence (doc_id, s) and their reverse complements at ``k`` letters or more.
+
+    A sequence in one row meets itself where it is read; only sequences whose id has several rows are joined.
+    """
+    alone = lambda r: by_sequence(r, lambda s: K.turned_places(s, k), "fwd long, rev long")
+    several = rows.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select("doc_id")  # reads ids only
+    if several.isEmpty():
+        return alone(rows)
+    each = kmers(rows.join(several, "doc_id", "left_semi"), k)
+    turned = each.select("doc_id", F.col("place").alias("fwd"), C.reverse_complement(F.col("kmer")).alias("kmer"))
+    joined = turned.join(each, ["doc_id", "kmer"]).where(f"place >= fwd + {k}").select("doc_id", "fwd", F.col("place").alias("rev"))
+    return alone(rows.join(several, "doc_id", "left_anti")).unionByName(joined)
 
 
 @query("select event_id, cast(1 + (event_id >= 128)::int + (event_id >= 16384)::int + (event_id >= 2097152)::int as integer) as bytes from events")
