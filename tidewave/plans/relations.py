@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewave.functions import columns as C
 from tidewave.operators import kernels as K
 from tidewave.plans.signals import PULSE, blocks
-from tidewave.session import ship_package, table
+from tidewave.session import ship_package, table, written
 from tidewave.sources.readers import pulses
 
 QUERIES, SQL = {}, {}
@@ -167,17 +167,46 @@ def interval_complement(spark: SparkSession, sf: str) -> DataFrame:
 def conflict_resolution(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals that no overlapping one of a better score beats, without pairs.
 
-    Every interval is made of some nodes of a binary tree over days, and two overlap just where a node of one is a node
+    An interval within a better one is beaten, and beats nothing that the better one doesn't; few are left without those. Every
+    interval is made of some nodes of a binary tree over days, and two overlap just where a node of one is a node
     of the other, or above or below it. So an interval is beaten by the best that touches a node of its own, or that
     owns a node which it touches; both are maxima of groups, which are combined before they are shuffled.
     """
-    s = spans(spark, sf).withColumn("rank", F.struct("score", (-F.col("id")).alias("low")))
+    ship_package(spark)
+    return unbeaten(uncovered(spans(spark, sf)))
+
+
+def unbeaten(spans: DataFrame) -> DataFrame:
+    """(id, score) of the intervals that no overlapping one of their key beats, by the tree."""
+    s = spans.withColumn("rank", F.struct("score", (-F.col("id")).alias("low")))
     rows = s.select("id", "s", "rank", F.inline(tree_nodes()))
     best = rows.groupBy("s", "k", "i").agg(F.max("rank").alias("touching"), F.max(F.when(F.col("own"), F.col("rank"))).alias("owning"))
     met = rows.join(best, ["s", "k", "i"]).groupBy("id").agg(F.first("rank").alias("rank"), F.max(F.when(F.col("own"), F.col("touching")).otherwise(F.col("owning"))).alias("best"))
     return met.where("best = rank").select("id", F.col("rank.score").alias("score"))
 
 
+#: Intervals of a part of a key's, which are held against each other at once.
+PART = 1000
+
+
+def uncovered(spans: DataFrame, part: int = PART) -> DataFrame:
+    """``spans`` (id, b, e, s, score) without those that lie within a better one (score, then smaller id) of their key and part.
+
+    A key has as many parts as its rows need, so that no task holds a large key. What lies within a better one of another part stays.
+    """
+    spans = written(spans, "spans")
+    sizes = written(spans.groupBy("s").agg(F.ceil(F.count("*") / part).cast("int").alias("parts")).where("parts > 1"), "parts")
+    dealt = spans.join(sizes, "s", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
+
+    columns = spans.columns
+
+    def alone(rows: pa.Table) -> pa.Table:
+        b, e, score, key = (rows[c].to_numpy() for c in ("b", "e", "score", "id"))
+        return rows.select(columns).filter(pa.array(~K.covered(b, e, score, key)))
+
+    return dealt.groupBy("s", "part").applyInArrow(alone, spans.schema)
+
+
 @query("select o_orderkey, o_totalprice from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
 def whitelist_semi(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
