@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,30 @@ def test_blocks_in_spark_equal_blocks_in_a_loop(spark):
             L.frame_states(wrong, step).collect()
 
 
+def test_a_task_holds_a_batch_whatever_the_keys(monkeypatch):
+    """Keys in order of key: each is finished before the next batch, few go through the labeller at once, and repeats are told."""
+    rng, at_once = np.random.default_rng(5), []
+    rows = [{"zmw": z, "block": b, "last": b == 2, "x": rng.normal(size=24).tolist(), "mean": 0.0, "variance": 1.0, "levels": [9.0, 7.0, 5.0, 3.0], "spreads": [1.0] * 4} for z in range(60) for b in range(3)]
+    batches = lambda r, n: [pa.RecordBatch.from_pylist(r[i : i + n]) for i in range(0, len(r), n)]
+    step = S.transitions([S.Kinetics(8, 8, 0.3, 0.1)] * 4)
+    plain = L.labelled
+    monkeypatch.setattr(L, "AT_ONCE", 10)
+    monkeypatch.setattr(L, "labelled", lambda part, *a: at_once.append(len(part)) or plain(part, *a))
+    want = None
+    for n in (180, 50, 1):
+        got = []
+        for out in L.label_batches(iter(batches(rows, n)), step):
+            got += out.to_pylist()
+        got.sort(key=lambda r: (r["zmw"], r["frame"]))
+        assert len(got) == 60 * 72 and (want is None or got == want)
+        want = got
+    assert max(at_once) == 10
+    for odd in (rows[:3] + rows[2:], rows[:1] + rows[2:]):
+        for n in (180, 3, 1):
+            with pytest.raises(ValueError, match="each once"):
+                list(L.label_batches(iter(batches(odd, n)), step))
+
+
 def test_stream_equals_batch_whatever_the_order(spark, tmp_path):
     """Blocks come in four micro-batches, some before their turn and some twice."""
     step = S.transitions(KINDS)

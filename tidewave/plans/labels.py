@@ -18,6 +18,8 @@ QUERIES, SQL = {}, {}
 
 #: Frames of a block, and of a pulse of the event table.
 FRAMES, PULSE_FRAMES = 24, 4
+#: Blocks that go through the labeller at once.
+AT_ONCE = 512
 #: The kinds from the brightest to the dimmest.
 KINDS = ["A", "C", "G", "T"]
 RATIOS = {"width_ratio": 0.3, "gap_ratio": 0.1}
@@ -144,33 +146,43 @@ def as_batch(keys: list[int], firsts: list[int], paths: list[np.ndarray]) -> pa.
     return pa.record_batch([pa.array(np.repeat(keys, sizes).astype(np.int64)), pa.array(frames.astype(np.int64)), pa.array(states.astype(np.int32))], ["zmw", "frame", "state"])
 
 
+def label_batches(batches: Iterator[pa.RecordBatch], step: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``frame_states`` of a task's batches, whose rows are sorted by key and block."""
+    open_: dict[int, tuple[int, S.Carry]] = {}
+    following = None
+    for b in batches:
+        rows = b.to_pylist()
+        if not rows:
+            continue
+        again = rows[0]["zmw"] == following and following not in open_
+        if again or len({(r["zmw"], r["block"]) for r in rows}) < len(rows):
+            raise ValueError("a key's blocks must be 0, 1, 2 and so on, each once")
+        following = rows[-1]["zmw"]  # only a batch's last key can go on in the next
+        rows.sort(key=lambda r: r["block"])
+        a = 0
+        while a < len(rows):
+            z = a
+            while z < min(len(rows), a + AT_ONCE) and rows[z]["block"] == rows[a]["block"]:
+                z += 1
+            part = rows[a:z]
+            if any(open_.get(r["zmw"], (0,))[0] != r["block"] for r in part):
+                raise ValueError("a key's blocks must be 0, 1, 2 and so on, each once")
+            old = [open_.pop(r["zmw"], (0, S.Carry()))[1] for r in part]
+            paths, rest = labelled(part, old, step)
+            open_ |= {r["zmw"]: (r["block"] + 1, c) for r, c in zip(part, rest) if not r["last"]}
+            yield as_batch([r["zmw"] for r in part], [c.first for c in old], paths)
+            a = z
+        open_ = {k: v for k, v in open_.items() if k == following}
+
+
 def frame_states(blocks: DataFrame, step: np.ndarray) -> DataFrame:
     """(zmw, frame, state) of blocks (zmw, block, last, x, mean, variance, levels, spreads); each key's blocks are 0, 1, 2 and so on.
 
-    One exchange by key; within a task, blocks come in order, those of one number for all its keys before the next. A task holds
-    LAG frames for each key that isn't finished, and one batch. Frames that wait take the model of the block that releases them. Null
+    One exchange by key; within a task a key's blocks come together and in order, and blocks of one number of a batch's keys go through the
+    labeller at once, AT_ONCE at most. A task holds LAG frames of one key, and one batch. Frames that wait take the model of the block that releases them. Null
     samples tell nothing. A key whose last block isn't there keeps its last LAG frames unlabelled; one with a gap or a repeated block is an error.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[int, tuple[int, S.Carry]] = {}
-        for b in batches:
-            rows = b.to_pylist()
-            a = 0
-            while a < len(rows):
-                z = a
-                while z < len(rows) and rows[z]["block"] == rows[a]["block"]:
-                    z += 1
-                part = rows[a:z]
-                if len({r["zmw"] for r in part}) < len(part) or any(open_.get(r["zmw"], (0,))[0] != r["block"] for r in part):
-                    raise ValueError("a key's blocks must be 0, 1, 2 and so on, each once")
-                old = [open_.pop(r["zmw"], (0, S.Carry()))[1] for r in part]
-                paths, rest = labelled(part, old, step)
-                open_ |= {r["zmw"]: (r["block"] + 1, c) for r, c in zip(part, rest) if not r["last"]}
-                yield as_batch([r["zmw"] for r in part], [c.first for c in old], paths)
-                a = z
-
-    return blocks.repartition("zmw").sortWithinPartitions("block").mapInArrow(run, OUT)
+    return blocks.repartition("zmw").sortWithinPartitions("zmw", "block").mapInArrow(lambda batches: label_batches(batches, step), OUT)
 
 
 @query()
