@@ -160,3 +160,17 @@ def test_em_finds_the_mixture_that_made_the_values(spark):
     assert found[1]["converged"] and found[1]["confidence"] > 0.3 and found[1]["chance"] > 1e-4
     assert found[3]["chance"] < 1e-6 and found[3]["confidence"] < found[1]["confidence"]
     assert found[4]["rounds"] == 1 and found[4]["g"] == 0
+
+
+def test_histograms_have_as_many_tasks_as_bins_need(spark, monkeypatch):
+    """Every bin of every key, counts inside only, by tasks that grow in number with the keys."""
+    from tidewave.operators import mixtures as M
+
+    law = M.Law(low=0.0, width=2.0, bins=4, amplitudes=(1.0,))
+    rows = [(k, x) for k in range(50) for x in (0.0, 1.9, 2.0, 7.9, 8.0, -0.1, float("nan"), None)] + [(50, None), (None, 1.0)]
+    monkeypatch.setattr(M, "PART", 20)
+    bins = M.histogram(spark.createDataFrame(rows, "zmw long, x double"), law)
+    want = {(k, b, n) for k in range(50) for b, n in enumerate((2, 1, 0, 1))} | {(50, b, 0) for b in range(4)} | {(None, b, int(b == 0)) for b in range(4)}
+    got = [tuple(r) for r in bins.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert bins.rdd.getNumPartitions() >= 8

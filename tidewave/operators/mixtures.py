@@ -16,6 +16,10 @@ from tidewave.functions import columns as C
 from tidewave.session import written
 
 
+#: Bins of a task.
+PART = 200_000
+
+
 @dataclass(frozen=True)
 class Law:
     """What is fixed in a fit: the bins, the pulses' amplitudes relative to the scale, and how variance grows with the mean."""
@@ -37,11 +41,19 @@ class Law:
 
 def histogram(values: DataFrame, law: Law) -> DataFrame:
     """(zmw, bin, n) with every bin of each key of ``values`` (zmw, x); half-open bins. Values outside, nulls and NaN are not counted."""
+    keys = values.agg(F.approx_count_distinct("zmw")).first()[0]  # one row
     at = F.floor((F.col("x") - law.low) / law.width).cast("int")
-    counts = values.where(F.col("x").isNotNull() & ~F.isnan("x")).select("zmw", at.alias("bin")).where(F.col("bin").between(0, law.bins - 1)).groupBy("zmw", "bin").agg(F.count("*").alias("n"))
-    # A row of no count for each bin; bins are a parameter, so the rows are bounded by the keys.
-    empty = values.select("zmw").distinct().select("zmw", F.explode(F.sequence(F.lit(0), F.lit(law.bins - 1))).alias("bin"), F.lit(0).cast("long").alias("n"))
-    return counts.unionByName(empty).groupBy("zmw", "bin").agg(F.sum("n").alias("n"))
+    inside = F.col("x").isNotNull() & ~F.isnan("x") & at.between(0, law.bins - 1)
+    counts = in_parts(values.select("zmw", F.when(inside, at).alias("bin")), keys * law.bins).groupBy("zmw", "bin").agg(F.count("*").alias("n"))
+    # A key's counts in one row: no more than the bins, which are a parameter.
+    held = counts.groupBy("zmw").agg(F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("held"))
+    bins = held.select("zmw", "held", F.explode(F.sequence(F.lit(0), F.lit(law.bins - 1))).alias("bin"))
+    return bins.select("zmw", "bin", F.coalesce(F.try_element_at("held", F.col("bin")), F.lit(0).cast("long")).alias("n"))
+
+
+def in_parts(rows: DataFrame, count: int) -> DataFrame:
+    """``rows`` dealt by key to as many tasks as ``count`` bins need: bins shrink so much in a shuffle that its bytes don't tell their number."""
+    return rows.repartition(max(1, -(-count // PART)), "zmw")
 
 
 def started(keys: DataFrame, law: Law, mean: Column, variance: Column, scale: Column, weight: Column, background: Column) -> DataFrame:
@@ -108,6 +120,7 @@ def fit(bins: DataFrame, model: DataFrame, law: Law, limit: int = 40, tolerance:
     ``at_once`` rounds make one plan, in which the bins are dealt by key once. A key without counts converges at once.
     """
     held, model, done = written(bins, "bins"), written(model, "model"), 0
+    held = in_parts(held, held.count())
     while done < limit and not model.where("not converged").isEmpty():
         for _ in range(min(at_once, limit - done)):
             model, done = step(held, model, law, tolerance), done + 1
@@ -123,7 +136,7 @@ def judged(bins: DataFrame, model: DataFrame, law: Law) -> DataFrame:
     is the product of: converged; background neither too rare nor all there is; signal over noise of the smallest pulse;
     a chance that isn't tiny.
     """
-    b = with_densities(bins.join(model, "zmw"), law)
+    b = with_densities(in_parts(bins, bins.count()).join(model, "zmw"), law)
     g = b.groupBy("zmw").agg(F.expr("sum(n) as total"), F.expr("sum(p) as mass"), F.expr("sum(if(n > 0, n * (ln(n) - ln(p)), 0D)) as raw"), F.expr("count_if(n > 0) as used"))
     g = g.selectExpr("zmw", "greatest(0D, 2 * (raw - total * ln(total / mass))) as g", f"used - {law.modes + 3} as free")
     k = F.greatest(F.lit(1), F.col("free"))
