@@ -123,6 +123,30 @@ def test_op1_deals_prefixes_to_blocks_and_each_set_once(spark):
     assert not re.search(r"hashpartitioning\(rep#\d+L?, held", plan)
 
 
+def test_op1_blocks_return_no_pairs(spark, monkeypatch):
+    """A group whose prefixes let nearly all pairs link, while few do: what is stored grows with its members."""
+    monkeypatch.setattr(ngram_join, "CROWD", 10)
+    counts, plain = {}, ngram_join.stored
+
+    def stored(df, name="step"):
+        found = plain(df, name)
+        counts[name] = max(counts.get(name, 0), found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(160):
+        w = [f"c{k}" for k in range(200)]
+        for k in rng.choice(200, rng.integers(6, 8), False):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    sets = [ngram_join.shingles(t) for _, t in rows]
+    near = sum(100 * len(np.intersect1d(x, y)) >= 60 * len(np.union1d(x, y)) for i, x in enumerate(sets) for y in sets[:i])
+    assert {tuple(r) for r in ngram_join.shingle_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute_classes(rows)
+    assert near < 160 * 159 / 2 and 0 < counts["near"] <= 6 * 160 and counts["links"] < 6 * 160, (near, counts)
+
+
 def test_op1_odd_rows(odd, empty):
     found = sorted({tuple(r) for r in ngram_join.shingle_classes(odd).collect()})
     assert found == sorted(brute_classes([(r[0], r[1]) for r in odd_rows()]))

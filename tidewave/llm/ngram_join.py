@@ -26,6 +26,8 @@ HUBS = 8
 GRID = 4096
 #: Pairs of strays and members of a hub from which these are compared in blocks, and rows of a block.
 CROWD, CHUNK = 4_000, 1024
+#: Shingles of a block's side, about: 16 MB.
+CELLS = 1 << 21
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
@@ -202,24 +204,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(meet, "a long, b long, both long, whole long")
 
 
-def _cross(rows: pd.DataFrame, rank: np.ndarray) -> pd.DataFrame:
-    """Pairs of a block of strays and a block of members, of different components, that sizes and prefixes let link."""
-    held = [np.asarray(x, dtype=np.int64).view(np.uint64) for x in rows["start"]]
-    left, right = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
-    ids, parts, size = (rows[c].to_numpy() for c in ("rep", "part", "n"))
-    known = np.array([len(h) for h in held], dtype=np.int64)
-    if not len(left) or not len(right):
-        return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+def _common(held: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right`` (numbers of ``held``), by matrix products over parts of the shingles."""
     names = np.intersect1d(np.concatenate([held[i] for i in left]), np.concatenate([held[i] for i in right]))
     both = np.zeros((len(left), len(right)), dtype=np.float32)
     sides = []
     for side in (left, right):  # the common shingles of each side, by row
-        row, every = np.repeat(np.arange(len(side)), known[side]), np.concatenate([held[i] for i in side])
+        row, every = np.repeat(np.arange(len(side)), [len(held[i]) for i in side]), np.concatenate([held[i] for i in side])
         at = np.searchsorted(names, every)
         hit = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == every) if len(names) else np.zeros(len(every), dtype=bool)
         order = np.argsort(at[hit], kind="stable")
         sides.append((row[hit][order], at[hit][order]))
-    for k in range(0, len(names), GRID):  # matrix products over parts of the shingles
+    for k in range(0, len(names), GRID):
         grids = []
         for side, (row, at) in zip((left, right), sides):
             cut = slice(*np.searchsorted(at, [k, k + GRID]))
@@ -227,23 +223,82 @@ def _cross(rows: pd.DataFrame, rank: np.ndarray) -> pd.DataFrame:
             grid[row[cut], at[cut] - k] = 1
             grids.append(grid)
         both += grids[0] @ grids[1].T
-    # Up to the lesser end of two prefixes all common members are known; one of the two ends is it.
+    return both
+
+
+def _cross(rows: pd.DataFrame, rank: np.ndarray) -> pd.DataFrame:
+    """Pairs of a block of strays and a block of members, of different components, that sizes and prefixes let link."""
+    held = [np.asarray(x, dtype=np.int64).view(np.uint64) for x in rows["start"]]
+    left, right = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
+    ids, parts, size = (rows[c].to_numpy() for c in ("rep", "part", "n"))
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+    both = _common(held, left, right)
+    # As in may_link: up to the lesser end of two prefixes all common members are known. An end is its place in the common order.
+    known = np.array([len(h) for h in held], dtype=np.int64)
+    last = np.array([h[np.lexsort((h, k))[-1]] for h, k in ((h, _sort_keys(h, rank)) for h in held)], dtype=np.uint64)
+    later = _sort_keys(last, rank).astype(bool)
+    open_ = known < size
+    place = np.empty(len(held), dtype=np.int64)
+    place[np.lexsort((last, later))] = np.arange(len(held))
+    place[~open_] = len(held)  # a whole set is known up to any end
+
+    def upto(ends: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Members of the prefixes ``of`` up to each of ``ends``."""
+        found = np.empty((len(ends), len(of)), dtype=np.int64)
+        for j, i in enumerate(of):
+            keys = _sort_keys(held[i], rank).astype(bool)
+            early, late = np.sort(held[i][~keys]), np.sort(held[i][keys])
+            found[:, j] = np.where(later[ends], len(early) + np.searchsorted(late, last[ends], "right"), np.searchsorted(early, last[ends], "right"))
+        found[~open_[ends]] = known[of]
+        return found
+
     rest, total = size - known, size[left][:, None] + size[right][None, :]
-    bound = np.minimum(both + np.maximum(rest[left][:, None], rest[right][None, :]), np.minimum(size[left][:, None], size[right][None, :]))
+    lesser = place[left][:, None] <= place[right][None, :]
+    own, other = np.where(lesser, rest[left][:, None], rest[right][None, :]), np.where(lesser, size[right][None, :] - upto(left, right), size[left][:, None] - upto(right, left).T)
+    bound = np.minimum(both + np.minimum(own, other), np.minimum(size[left][:, None], size[right][None, :]))
     x, y = np.nonzero((100 * bound >= PERCENT * (total - bound)) & (parts[left][:, None] != parts[right][None, :]))
     x, y = left[x], right[y]
-    good = np.array([may_link(held[i], int(size[i]), held[j], int(size[j]), rank) for i, j in zip(x, y)], dtype=bool)
-    x, y = x[good], y[good]
     return pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y])})
 
 
-def _blocks(crowd: DataFrame, starts: DataFrame, order) -> DataFrame:
-    """Distinct pairs (a, b) that may link among the strays and members of each hub's ``crowd`` (hub, rep, part, stray, block).
+def _open_rows(rows: pd.DataFrame, rank: np.ndarray) -> pd.DataFrame:
+    """The rows of a block that may link with another of it: its rows, not its pairs, whose number is the product of theirs."""
+    pairs = _cross(rows, rank)
+    return rows[rows["rep"].isin(np.union1d(pairs["a"], pairs["b"]))].drop(columns="start")
+
+
+def _forest(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that join the components of a block's rows as all links of their whole sets do: fewer than there are components."""
+    held = [np.frombuffer(x, dtype=np.uint64) for x in rows["held"]]
+    left, right = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
+    ids, part = rows["rep"].to_numpy(), np.unique(rows["part"], return_inverse=True)[1]
+    found = []
+    if len(left) and len(right):
+        both, size = _common(held, left, right).astype(np.int64), np.array([len(h) for h in held])
+        linked = 100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
+        label = np.arange(part.max() + 1)
+        for i, row in zip(left, linked):
+            near = right[row]
+            others, first = np.unique(label[part[near]], return_index=True)
+            new = others != label[part[i]]
+            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near[first[new]]]
+            label[np.isin(label, others[new])] = label[part[i]]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _blocks(crowd: DataFrame, starts: DataFrame, base: DataFrame, order) -> DataFrame:
+    """Links (a, b) that join what links among the strays and members of each hub's ``crowd`` (hub, rep, part, stray, block).
 
     Strays of a size class meet members of the same and the neighbouring classes only, in blocks of at most about CHUNK
-    strays and as many members, each in a task of its own. Only prefixes are dealt to the blocks.
+    strays and as many members, fewer where sets are large, each in a task of its own. Prefixes are dealt to the blocks; then whole sets of
+    what may link there. A block returns rows and links that join components, never its pairs.
     """
-    sizes = crowd.groupBy("hub", "block").agg(F.ceil(F.sum("stray") / CHUNK).cast("int").alias("across"), F.ceil(F.count("*") / CHUNK).cast("int").alias("down"))
+    sets_of = F.greatest(F.lit(1.0), F.least(F.lit(float(CHUNK)), CELLS / F.pow(F.lit(100 / PERCENT), F.col("block") + 1.0)))
+    sizes = (
+        crowd.groupBy("hub", "block").agg(F.sum("stray").alias("strays"), F.count("*").alias("members"))
+        .select("hub", "block", F.ceil(F.col("strays") / sets_of).cast("int").alias("across"), F.ceil(F.col("members") / sets_of).cast("int").alias("down"))
+    )
     meet = (
         sizes.where("across > 0").select("hub", "block", "across", F.explode(F.array(*(F.col("block") + k for k in (-1, 0, 1)))).alias("other"))
         .join(sizes.select("hub", F.col("block").alias("other"), "down"), ["hub", "other"])
@@ -256,8 +311,12 @@ def _blocks(crowd: DataFrame, starts: DataFrame, order) -> DataFrame:
         crowd.select("hub", "rep", "part", F.col("block").alias("other")).join(meet, ["hub", "other"])
         .select("rep", "part", "hub", "block", "other", every("across").alias("x"), own("down").alias("y"), F.lit(1).alias("role")),
     ]
-    dealt = roles[0].unionByName(roles[1]).join(starts, "rep").groupBy(*key)
-    return dealt.applyInPandas(lambda rows: _cross(rows, order.value), "a long, b long").distinct()
+    dealt = roles[0].unionByName(roles[1]).join(starts, "rep")
+    shape = dealt.drop("start").schema
+    met = stored(dealt.groupBy(*key).applyInPandas(lambda rows: _open_rows(rows, order.value)[shape.names], shape), "near")
+    wanted = met.select("rep").distinct()
+    whole = met.select("rep", "part", "role", *key).join(_sets(base, wanted.select(F.col("rep").alias("a"), F.col("rep").alias("b"))), "rep")
+    return whole.groupBy(*key).applyInPandas(_forest, "a long, b long").distinct()
 
 
 def shingle_classes(docs: DataFrame) -> DataFrame:
@@ -395,8 +454,8 @@ def _classes(base: DataFrame, described: DataFrame, order) -> DataFrame:
     )
     crowd = stored(around.join(crowds, "hub"), "crowd")
     if not crowd.isEmpty():
-        near = stored(_blocks(crowd, _starts(reps, crowd.select(F.col("rep").alias("a"), F.col("rep").alias("b"))), order), "near")
-        links = stored(links.unionByName(_verified(near, _sets(base, near)).where(linked).select("a", "b")), "links")
+        starts = _starts(reps, crowd.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
+        links = stored(links.unionByName(_blocks(crowd, starts, base, order)), "links")
         groups = connected_components(links)
     sparse = open_lists.join(crowds, "hub", "left_anti")
     strays = sparse.where("part != main").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
