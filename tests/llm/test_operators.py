@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -348,6 +349,19 @@ def test_op4_pieces_and_sequences(spark, odd, empty, docs):
     assert packing.packed(empty, TOKENIZER).count() == 0
 
 
+def test_op4_workers_forget_the_words_of_a_task(spark, docs):
+    assert packing.pieces(docs.where("doc_id < 60"), TOKENIZER).count() >= 60
+    packing.pieces(docs.where("doc_id < 60"), TOKENIZER).agg(F.sum("ids_crc32")).collect()
+
+    def held(batches):
+        for b in batches:
+            coders = packing._WORKER.values()
+            yield pa.record_batch([pa.array([len(coders)]), pa.array([sum(len(c.known) for c in coders)])], ["coders", "words"])
+
+    found = spark.range(0, 64, 1, 16).mapInArrow(held, "coders long, words long").agg(F.max("coders"), F.max("words")).first()
+    assert tuple(found) == (1, 0)
+
+
 def test_op4_swaps_empty_bins():
     bins = improved = 0
     for seed in range(20):

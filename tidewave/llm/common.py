@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -53,11 +54,20 @@ def fold_of(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def give_back() -> None:
+    """Freed memory of this process goes back to the system, where the allocator can: an idle Python worker should hold little."""
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def batches_of(rows: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into pieces of at most ``size`` rows, so that working arrays stay small."""
+    """Arrow batches cut into pieces of at most ``size`` rows, so that working arrays stay small; what they took is given back at the end."""
+    batch = None
     for batch in rows:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+    del batch
+    give_back()
 
 
 def bitmap(slots: DataFrame) -> np.ndarray:

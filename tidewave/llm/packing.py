@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewave.llm.common import batches_of, stored
+from tidewave.llm.common import batches_of, give_back, stored
 
 CAPACITY = 2048
 #: Pieces packed together in one task.
 SHARD = 6144
-#: Words whose ids a Python worker remembers.
+#: Words whose ids a task remembers.
 REMEMBERED = 800_000
 #: Rounds of the local search over a shard.
 ROUNDS = 4000
@@ -88,6 +88,13 @@ def token_bytes(text: str | None, path: str) -> bytes:
     return _WORKER[path](text)
 
 
+def forget_words(path: str) -> None:
+    """A worker keeps the model, but not a task's words: they'd take 150 MB of it for as long as the session lasts."""
+    if path in _WORKER:
+        _WORKER[path].known.clear()
+    give_back()
+
+
 def pieces(docs: DataFrame, path: str) -> DataFrame:
     """Each document's ids and a closing 0, cut into pieces of CAPACITY where longer."""
 
@@ -106,6 +113,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
                     crc.append(zlib.crc32(part))
             columns = [pa.array(ids, pa.int64()), pa.array(piece, pa.int32())] + [pa.array(x, pa.int64()) for x in (start, length, crc)]
             yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        forget_words(path)
 
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
