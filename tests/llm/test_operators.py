@@ -319,6 +319,36 @@ def test_op3_noise_contrast_finds_the_distribution():
     assert got == pytest.approx([0.75, 0.25], abs=0.05)
 
 
+def test_op3_step_equals_plain_gradients():
+    rng = np.random.default_rng(8)
+    noise = rng.random(lm_score.UNITS) + 0.1
+    noise /= noise.sum()
+    trainer = lm_score.Trainer(lm_score.start(noise), noise, 10, 0.01)
+    for k, scale in (("far", 0.5), ("near", 0.5), ("unit", 60)):  # scores from -1000 on to 1000 too
+        trainer.p[k][:] = rng.normal(0, scale, trainer.p[k].shape)
+    p = {k: v.astype(np.float64) for k, v in trainer.p.items()}
+    found = {}
+    trainer.adam.update = lambda grads, scale: found.update(grads)
+    draw = np.random.default_rng(17)
+    far, near, u = (rng.integers(0, n, lm_score.BATCH) for n in (50, 50, lm_score.UNITS))
+    with np.errstate(over="raise", invalid="raise", divide="raise"):
+        trainer._step(far, near, u)
+    false = np.minimum(np.searchsorted(np.cumsum(noise), draw.random(lm_score.NOISE)), lm_score.UNITS - 1)
+    h = p["far"][far] + p["near"][near]
+    logistic = lambda x: 0.5 * (1 + np.tanh(x / 2))
+    true = logistic((h * p["unit"][u]).sum(axis=1) + p["bias"][u] - np.log(lm_score.NOISE * noise[u])) - 1
+    wrong = logistic(h @ p["unit"][false].T + p["bias"][false] - np.log(lm_score.NOISE * noise[false]))
+    want = {k: np.zeros_like(v) for k, v in p.items()}
+    back = (true[:, None] * p["unit"][u] + wrong @ p["unit"][false]) / lm_score.BATCH
+    np.add.at(want["far"], far, back)
+    np.add.at(want["near"], near, back)
+    np.add.at(want["unit"], u, true[:, None] * h / lm_score.BATCH)
+    np.add.at(want["unit"], false, wrong.T @ h / lm_score.BATCH)
+    np.add.at(want["bias"], u, true / lm_score.BATCH)
+    np.add.at(want["bias"], false, wrong.sum(axis=0) / lm_score.BATCH)
+    assert all(np.allclose(found[k], want[k], rtol=1e-3, atol=1e-3 * np.abs(want[k]).max()) for k in want)
+
+
 def plain_ids(text):
     from tokenizers import Tokenizer
 

@@ -100,8 +100,9 @@ def start(noise: np.ndarray) -> dict[str, np.ndarray]:
 
 def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums of the values' rows by number."""
-    at = rows[:, None] * np.int64(SIZE) + np.arange(SIZE)
-    return np.bincount(at.ravel(), values.ravel(), size * SIZE).reshape(size, SIZE).astype(np.float32)
+    out = np.zeros(size * SIZE, dtype=np.float32)
+    np.add.at(out, (rows[:, None] * np.int64(SIZE) + np.arange(SIZE)).ravel(), values.ravel())
+    return out.reshape(size, SIZE)
 
 
 class Trainer:
@@ -133,10 +134,14 @@ class Trainer:
         h, true_vectors, false_vectors = p["far"].take(far, axis=0), p["unit"].take(u, axis=0), p["unit"][false]
         h += p["near"].take(near, axis=0)
         true = np.einsum("ij,ij->i", h, true_vectors) + p["bias"][u] - self.log_noise[u]
-        wrong = h @ false_vectors.T
-        wrong += p["bias"][false] - self.log_noise[false]
-        g_true, g_wrong = (sigmoid(true) - 1) / BATCH, sigmoid(wrong)
-        g_wrong /= BATCH
+        g_true = (sigmoid(true) - 1) / BATCH
+        # The logistic function of the noise units' scores in place, from its definition: exp(88) is the most that single precision holds.
+        g_wrong = h @ -false_vectors.T
+        g_wrong += self.log_noise[false] - p["bias"][false]
+        np.minimum(g_wrong, np.float32(88), out=g_wrong)
+        np.exp(g_wrong, out=g_wrong)
+        g_wrong += 1
+        np.divide(np.float32(1 / BATCH), g_wrong, out=g_wrong)
         back = g_wrong @ false_vectors
         back += g_true[:, None] * true_vectors
         grads = {
