@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidewave.llm import decontaminate, embed_dedup, language_id, license_scan, line_crf, lm_score, ngram_join, packing, toxicity, url_filter
-from tidewave.llm.common import fold_of, without, words_of
+from tidewave.llm.common import Adam, fold_of, without, words_of
 from tidewave.llm.graph import connected_components
 
 SF = "/root/testdata/sf0.01"
@@ -349,6 +349,70 @@ def test_op3_step_equals_plain_gradients():
     assert all(np.allclose(found[k], want[k], rtol=1e-3, atol=1e-3 * np.abs(want[k]).max()) for k in want)
 
 
+def test_op3_rows_without_gradient_wait():
+    """Rows that a batch doesn't name cost nothing in its step, and yet end where plain Adam takes them."""
+    rng = np.random.default_rng(9)
+    noise = rng.random(lm_score.UNITS) + 0.1
+    noise /= noise.sum()
+    trainer = lm_score.Trainer(lm_score.start(noise), noise, 300, 0.01)
+    plain = Adam({k: v.astype(np.float64) for k, v in trainer.p.items()}, 0.01)
+    update = trainer.adam.update
+    trainer.adam.update = lambda grads, scale: (plain.update({k: g.astype(np.float64) for k, g in grads.items()}, scale), update(grads, scale))
+    for step in range(450):
+        names = rng.permutation(60) + 60 * (step % 7 > 0)  # each row is left out for some steps
+        before = trainer.p["near"].copy()
+        trainer._step(*(names[rng.integers(0, 40, lm_score.BATCH)] for _ in range(2)), rng.integers(0, 9, lm_score.BATCH))
+        moved = np.flatnonzero((trainer.p["near"] != before).any(axis=1))
+        assert len(moved) <= 40 or (step + 1) % 200 == 0
+    trainer.rows()
+    for k, v in trainer.p.items():
+        assert np.abs(v - plain.params[k]).max() < 1e-3 * np.abs(plain.params[k] - lm_score.start(noise)[k]).max()
+
+
+def test_op3_words_in_bulk(odd, docs, monkeypatch):
+    """Arrow's words are those of ``words_of``, their counts don't hang on how they are gathered, and contexts don't cross texts."""
+    texts = [r["text"] for r in odd.select("text").union(docs.select("text").limit(300)).collect()] + ["", " ", None, "\x1c a\x85b\u00a0c\x0b\x0cD \u0130\u00c4 ", "a", "\ta b\n"]
+    want = [words_of(t) for t in texts]
+    flat = [w for ws in want for w in ws]
+    words, sizes = lm_score.words_in(pa.array(texts))
+    assert words.to_pylist() == flat and sizes.tolist() == [len(w) for w in want]
+    assert lm_score.words_in(pa.array(["x", *texts]).slice(1))[0].to_pylist() == flat
+
+    ranked = collections.Counter(flat).most_common(700)
+    lexicon = lm_score.Lexicon(ranked, [(b"on", 5, 2), (b"a", 3, 1)], len(texts), (9, 4))
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+    (_, some), = lm_score.gathered(iter([batch]), 1 << 30)
+    of = {w: (i + 1, lexicon.unit[i + 1], lexicon.context[i + 1]) for i, (w, _) in enumerate(ranked)}
+    ends = {b"on": (-1, lm_score.WORDS, lm_score.CONTEXT_WORDS + 1), b"a": (-1, lm_score.WORDS + 1, lm_score.CONTEXT_WORDS + 2)}
+    rows = []
+    for ws in want:
+        tokens = [of.get(w) or ends.get(w[-2:], (-1, lm_score.UNITS - 1, lm_score.CONTEXT - 1)) for w in ws] + [(0, 0, 0)]
+        before = [0, 0, *(c for _, _, c in tokens)]
+        rows += [(far, near, u) for far, near, (_, u, _) in zip(before, before[1:], tokens)]
+    assert some.examples(lexicon).T.tolist() == [list(r) for r in rows]
+
+    for counted, held in ((1 << 20, 500_000), (50, 200), (1, 1)):
+        monkeypatch.setattr(lm_score, "COUNTED", counted)
+        monkeypatch.setattr(lm_score, "HELD", held)
+        found = collections.Counter()
+        for b in lm_score._count_words(iter([batch])):
+            for r in b.to_pylist():
+                found[r["word"]] += r["n"]
+        assert found == collections.Counter(flat)
+    assert sum(b.num_rows for b in lm_score._count_words(iter([]))) == 0
+
+
+def test_op3_normaliser_of_opposed_contexts():
+    """The product of two rows stands for the sum over units, also where each all but rules out what the other prefers."""
+    rng = np.random.default_rng(3)
+    p = {k: rng.normal(0, 0.3, (n, lm_score.SIZE)).astype(np.float32) for k, n in (("far", lm_score.CONTEXT), ("near", lm_score.CONTEXT), ("unit", lm_score.UNITS))}
+    p["bias"] = rng.normal(0, 1, lm_score.UNITS).astype(np.float32)
+    p["far"][7], p["near"][8] = 60 * p["unit"][3], 60 * p["unit"][4] - 60 * p["unit"][3]
+    far, near = np.array([7, 7, 1, 2]), np.array([8, 1, 8, 2])
+    z = (p["far"][far] + p["near"][near]).astype(np.float64) @ p["unit"].T + p["bias"]
+    assert lm_score.Factors(p).log_sums(far, near) == pytest.approx(np.log(np.exp(z - z.max(axis=1)[:, None]).sum(axis=1)) + z.max(axis=1), abs=1e-3)
+
+
 def plain_ids(text):
     from tokenizers import Tokenizer
 

@@ -56,6 +56,7 @@ def fold_of(column: str, folds: int) -> Column:
 
 def give_back() -> None:
     """Freed memory of this process goes back to the system, where the allocator can: an idle Python worker should hold little."""
+    pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
 
@@ -168,10 +169,13 @@ class Adam:
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
         self.work = {k: (np.empty_like(v), np.empty_like(v)) for k, v in params.items()}
 
+    def rate_at(self, scale: float) -> float:
+        """Rate of the present step: a plain float, so that arrays of single precision stay so."""
+        return float(self.rate * scale * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step))
+
     def update(self, grads: dict[str, np.ndarray], scale: float = 1.0) -> None:
         self.step += 1
-        # A plain float, so that arrays of single precision stay so.
-        rate = float(self.rate * scale * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step))
+        rate = self.rate_at(scale)
         for k, g in grads.items():
             m, v, (a, b) = self.m[k], self.v[k], self.work[k]
             np.subtract(g, m, out=a)
