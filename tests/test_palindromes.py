@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tidewave.plans import palindromes as P
-from tidewave.plans.relations import turned_pairs
+from tidewave.plans.relations import by_block, turned_pairs
 
 SWAP = str.maketrans("ACGT", "TGCA")
 
@@ -180,3 +180,26 @@ def test_planted_turns_are_found(spark):
         hit += sum(any(abs(x - t) <= near for x in got.get(key, [])) for t in turns)
         other += sum(all(abs(x - t) > near for t in turns) for x in got.get(key, []))
     assert hit >= 0.97 * planted and other <= 0.03 * planted
+
+
+@pytest.mark.parametrize("most", [1, 700, 1 << 18])
+def test_blocks_of_reads(spark, most):
+    """Reads told many at once are told as alone: no seed, place or support reaches over to the next read, and a read longer than a block stays whole."""
+    reads = [s or "" for s in reads_of(3).values()] + ["ACGTTGCATCAGGAC", "GTCCTGATGCAACGT", "", ""]
+    rows = spark.createDataFrame(list(enumerate(reads)), "doc_id long, s string").coalesce(1)
+    for found, plain, shape in (
+        (lambda x, starts: P.kernels.seeds_met(x, starts, 7, P.REPEAT), lambda s: walk(s, 7), "turned boolean, fwd long, rev long"),
+        (P.turns, plain_centres, "centre long, support long"),
+    ):
+        got = sorted(map(tuple, by_block(rows, found, shape, most).collect()))
+        assert got == sorted((i, *x) for i, s in enumerate(reads) for x in plain(s)) and len(got) > 30
+
+
+def test_centres_need_no_shuffle(spark):
+    """Each row is a read of its own, told where it is read; the letters are derived once."""
+    rows = [(1, s) for s in reads_of(2).values()]
+    df = spark.createDataFrame(rows, "doc_id long, s string")
+    got = P.centres(df)
+    assert sorted(tuple(r)[1:] for r in got.collect()) == sorted(tuple(x) for _, s in rows if s for x in plain_centres(s))
+    plan = P.centres(P.molecules(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("upper(") == 1

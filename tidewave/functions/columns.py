@@ -42,7 +42,7 @@ def reverse_complement(s: Column) -> Column:
 
 def letters_of(s: Column) -> Column:
     """Only the letters A, C, G and T of the text, in upper case."""
-    return F.regexp_replace(F.upper(s), "[^ACGT]", "")
+    return F.regexp_replace(F.upper(s), "[^ACGT]+", "")
 
 
 def compress_runs(s: Column) -> Column:

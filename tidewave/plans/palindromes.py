@@ -2,21 +2,20 @@
 
 A read passes over the same insert to and fro; where it turns, what follows is the reverse complement of what came before.
 Reads here are derived from documents: the letters, their reverse complement, the letters again, with letters lost in each
-later pass. Seeds are met where a read is read; the later steps but the chain are windows over one read's hits, dealt by read.
-A read without hits (empty, null, shorter than two seeds) has no row. Rows of one id are one read to the windows, so ids must be distinct.
+later pass. All steps need one read only and are taken where it is read, for many reads at once, so that nothing is shuffled; each row
+is a read. A read without hits (empty, null, shorter than two seeds) has no row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewave.functions import columns as C
 from tidewave.operators import kernels
-from tidewave.plans.relations import by_sequence, sequences
-from tidewave.session import ship_package, written
+from tidewave.plans.relations import by_block, sequences
+from tidewave.session import ship_package
 
 QUERIES, SQL = {}, {}
 
@@ -40,7 +39,7 @@ def query(sql: str | None = None):
 
 def molecules(spark: SparkSession, sf: str) -> DataFrame:
     """Three passes over each document's letters; the second loses every 19th letter, the third every 23rd."""
-    s = sequences(spark, sf).where("s is not null")
+    s = sequences(spark, sf)  # null letters make a null read; to filter by them would derive them twice
     lost = lambda x, n: F.regexp_replace(x, f"(.{{{n - 1}}}).", "$1")
     return s.select("doc_id", F.concat("s", lost(C.reverse_complement(F.col("s")), 19), lost(F.col("s"), 23)).alias("s"))
 
@@ -53,7 +52,7 @@ def found(reads: DataFrame, k: int = K) -> DataFrame:
     that no hit used the place before: both can be told from the last place of either strand. Each row is a read, told where it is read.
     """
 
-    return by_sequence(reads, lambda s: [kernels.seeds_met(s, k, REPEAT)], "turned boolean, fwd long, rev long")
+    return by_block(reads, lambda letters, starts: kernels.seeds_met(letters, starts, k, REPEAT), "turned boolean, fwd long, rev long")
 
 
 _MOLECULES = """with seq as (select doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') as s from documents where text is not null),
@@ -75,47 +74,68 @@ def palindrome_hits(spark: SparkSession, sf: str) -> DataFrame:
     return found(molecules(spark, sf))
 
 
-def estimated(spans: DataFrame, reads: DataFrame) -> DataFrame:
-    """Of each read with hits: its length, the insert's length and how many repeats make one unit of support.
+def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a sorted array and where each begins, and its end."""
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.append(first, len(key))
+
+
+def inserts(n: np.ndarray, read: np.ndarray, turned: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each read with hits (rows sorted by read): the insert's length, how many repeats make one unit of support, and how many there are.
 
     The insert is half of the span that most repeats share within about 5 %; without repeats (one turn only) hits span evenly up to
     twice the insert, and it is their 90th percentile by 1.8.
     """
-    span = (F.col("rev") - F.col("fwd")).alias("span")
-    repeats = spans.where("not turned").select("doc_id", span).groupBy("doc_id", "span").agg(F.count("*").alias("n"))
-    repeats = repeats.select("doc_id", "span", "n", F.round(F.log("span") * 100).cast("long").alias("scaled"))
-    near = F.sum("n").over(Window.partitionBy("doc_id").orderBy("scaled").rangeBetween(-5, 5))
-    mode = repeats.select("doc_id", "span", "n", near.alias("near")).groupBy("doc_id").agg(F.min(F.struct(-F.col("near"), "span"))["span"].alias("mode"), F.sum("n").alias("repeats"))
-    turned = spans.where("turned").select("doc_id", span).groupBy("doc_id").agg(F.expr("percentile(span, 0.9)").alias("wide"))
-    long = reads.select("doc_id", F.length("s").cast("long").alias("n"))
-    insert = F.greatest(F.lit(1), F.coalesce(F.expr("mode div 2"), F.floor(F.col("wide") / 1.8)))
-    return turned.join(mode, "doc_id", "left").join(long, "doc_id").select("doc_id", "n", insert.cast("long").alias("insert"), F.greatest(F.lit(1), F.expr("coalesce(repeats, 0) div 60")).alias("unit"))
-
-
-def candidates(hits: DataFrame) -> DataFrame:
-    """Places where the hits' centres are densest within FLANK letters, first of equals; ``hits`` has the read's n and insert.
+    insert, repeats = np.ones(len(n), dtype=np.int64), np.bincount(read[~turned], minlength=len(n))
+    at, long = read[~turned], span[~turned]
+    if len(at):
+        scaled = np.floor(np.log(long) * 100 + 0.5).astype(np.int64)
+        which, first = runs(at)
+        wide = scaled.max() - scaled.min() + 12
+        slot = np.repeat(np.arange(len(which)) * wide, np.diff(first)) + scaled - scaled.min() + 5
+        below = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=len(which) * wide))])
+        near = below[slot + 6] - below[slot - 5]
+        most = np.repeat(np.maximum.reduceat(near, first[:-1]), np.diff(first))
+        insert[which] = np.minimum.reduceat(np.where(near == most, long, np.iinfo(np.int64).max), first[:-1]) // 2
+    alone = turned & (repeats[read] == 0)
+    order = np.lexsort((span[alone], read[alone]))
+    at, long = read[alone][order], span[alone][order]
+    which, first = runs(at)
+    place = (np.diff(first) - 1) * 0.9
+    lo, hi = np.floor(place), np.ceil(place)
+    below, above = long[first[:-1] + lo.astype(np.int64)], long[first[:-1] + hi.astype(np.int64)]
+    insert[which] = np.floor(np.where(below == above, below, (hi - place) * below + (place - lo) * above) / 1.8)
+    return np.maximum(1, insert), np.maximum(1, repeats // 60), repeats
+
+
+def highest(x: np.ndarray, wide: int) -> np.ndarray:
+    """The greatest of ``wide`` values from each on; shorter by ``wide`` - 1."""
+    have = 1
+    while 2 * have <= wide:
+        x, have = np.maximum(x[:-have], x[have:]), 2 * have
+    return np.maximum(x[: len(x) - wide + have], x[wide - have :]) if wide > have else x
+
+
+def candidates(n: np.ndarray, insert: np.ndarray, read: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (read, at, density) where the hits' centres are densest within FLANK letters, first of equals, in order.
 
     The least density is SHARE of the read's greatest, and less near the ends, where fewer hits can be.
     """
-    places = hits.groupBy("doc_id", F.expr("(fwd + rev) div 2").alias("at")).agg(F.count("*").alias("here"), F.first("n").alias("n"), F.first("insert").alias("insert"), F.first("unit").alias("unit"))
-    read = Window.partitionBy("doc_id").orderBy("at")
-    dense = places.withColumn("density", F.sum("here").over(read.rangeBetween(-FLANK, FLANK)))
-    dense = dense.select("*", F.max("density").over(read.rangeBetween(-FLANK, FLANK)).alias("around"), F.max("density").over(read.rangeBetween(-FLANK, -1)).alias("before"), F.max("density").over(Window.partitionBy("doc_id")).alias("peak"))
-    least = SHARE * F.col("peak") * F.least(F.lit(1.0), F.least("at", F.col("n") - F.col("at")) / F.col("insert"))
-    first = F.col("before").isNull() | (F.col("before") < F.col("density"))
-    return dense.where((F.col("density") == F.col("around")) & first & (F.col("density") >= least)).select("doc_id", "at", "density", "n", "insert", "unit")
-
-
-def support(spans: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Changes (doc_id, at, change) of the support of distances: each repeat lifts those within about 5 % of half its span.
-
-    Reads without repeats get a hundred units around the estimated insert.
-    """
-    half = F.expr("(rev - fwd) div 2")
-    repeats = spans.where("not turned").select("doc_id", half.alias("half"), F.lit(1).cast("long").alias("by"))
-    none = sizes.join(repeats.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.col("insert").alias("half"), (F.col("unit") * 100).alias("by"))
-    sides = F.array(F.struct(F.expr("half - half div 20").alias("at"), F.col("by").alias("change")), F.struct(F.expr("half + half div 20 + 1").alias("at"), (-F.col("by")).alias("change")))
-    return repeats.unionByName(none).select("doc_id", F.explode(sides).alias("x")).groupBy("doc_id", "x.at").agg(F.sum("x.change").alias("change"))
+    base = FLANK + np.concatenate([[0], np.cumsum(n + FLANK)])  # reads lie FLANK apart
+    here = np.bincount(base[read] + at, minlength=base[-1] + 1)
+    below = np.concatenate([[0], np.cumsum(here)])
+    place = np.flatnonzero(here)
+    density = np.zeros(len(here), dtype=np.int64)
+    density[place] = below[place + FLANK + 1] - below[place - FLANK]
+    side = highest(density, FLANK)
+    owner = np.searchsorted(base, place, side="right") - 1
+    own, (which, first) = density[place], runs(owner)
+    peak = np.zeros(len(n), dtype=np.int64)
+    peak[which] = np.maximum.reduceat(own, first[:-1])
+    where = place - base[owner]
+    least = SHARE * peak[owner] * np.minimum(1.0, np.minimum(where, n[owner] - where) / insert[owner])
+    take = (side[place - FLANK] < own) & (side[place + 1] <= own) & (own >= least)
+    return owner[take], where[take], own[take]
 
 
 def best_chain(at: np.ndarray, density: np.ndarray, n: int, insert: int, unit: int, steps: np.ndarray, changes: np.ndarray) -> list[int]:
@@ -124,27 +144,29 @@ def best_chain(at: np.ndarray, density: np.ndarray, n: int, insert: int, unit: i
     ``steps`` (sorted) and ``changes`` hold the support of a distance as a running sum. Distances below insert / 2.2 don't follow each other,
     nor those beyond n / 2 and two inserts; the end of the read closes a chain but bears no centre. The first of equal chains counts.
     """
-    total = np.concatenate([[0], np.cumsum(changes)])
-    told = lambda d: total[np.searchsorted(steps, d, side="right")] / unit
-    usual, reach = float(told(np.array([insert]))[0]), max(n // 2, 2 * insert)
-    score, back = np.zeros(len(at) + 1), np.full(len(at) + 1, -1)
-    for i in range(len(at) + 1):
-        end = i == len(at)
-        place = n if end else int(at[i])
-        alone = usual * place / insert if place < insert else float(told(np.array([place]))[0])
-        lo = int(np.searchsorted(at[:i], place - reach))
-        hi = i if end else int(np.searchsorted(at[:i], place - insert / 2.2, side="right"))
-        if hi > lo:
-            far = place - at[lo:hi]
-            if end:
+    total = np.concatenate([[0], np.cumsum(changes)]) / unit
+    told = lambda d: total[np.searchsorted(steps, d, side="right")]
+    usual, reach = float(told(insert)), max(n // 2, 2 * insert)
+    place = np.append(at, n)
+    alone = np.where(place < insert, usual * place / insert, told(place))
+    lo = np.searchsorted(at, place - reach)
+    hi = np.minimum(np.searchsorted(at, place - insert / 2.2, side="right"), np.arange(len(place)))
+    hi[-1] = len(at)
+    score, back = np.zeros(len(place)), np.full(len(place), -1)
+    bonus = np.append(density, 0)
+    for i in range(len(place)):
+        a, z, best = lo[i], hi[i], alone[i]
+        if z > a:
+            far = place[i] - at[a:z]
+            if i == len(at):
                 gain = usual * (1 - np.minimum(1.0, np.abs(far - insert) / insert)) / np.where(far > insert, 10, 1)
             else:
                 gain = told(far)
-            sums = score[lo:hi] + gain
-            j = int(sums.argmax())
-            if sums[j] > alone:
-                alone, back[i] = float(sums[j]), lo + j
-        score[i] = alone + (0 if end else density[i])
+            sums = score[a:z] + gain
+            j = sums.argmax()
+            if sums[j] > best:
+                best, back[i] = sums[j], a + j
+        score[i] = best + bonus[i]
     chain, i = [], int(score.argmax())
     while i >= 0:
         if i < len(at):
@@ -153,59 +175,87 @@ def best_chain(at: np.ndarray, density: np.ndarray, n: int, insert: int, unit: i
     return chain[::-1]
 
 
-def chained(places: DataFrame, changes: DataFrame) -> DataFrame:
-    """The best chain of each read's candidates: (doc_id, mode, insert)."""
-
-    def of_read(c: pa.Table, s: pa.Table) -> pa.Table:
-        c, s = c.sort_by("at"), s.sort_by("at")
-        read = {name: c[name].to_numpy() for name in c.column_names} if c.num_rows else None
-        out = best_chain(read["at"], read["density"], int(read["n"][0]), int(read["insert"][0]), int(read["unit"][0]), s["at"].to_numpy(), s["change"].to_numpy()) if read else []
-        return pa.table({"doc_id": c["doc_id"].to_pylist()[:1] * len(out), "mode": pa.array(out, pa.int64()), "insert": c["insert"].to_pylist()[:1] * len(out)}, pa.schema([("doc_id", pa.int64()), ("mode", pa.int64()), ("insert", pa.int64())]))
+def chains(n: np.ndarray, insert: np.ndarray, unit: np.ndarray, repeats: np.ndarray, places: tuple[np.ndarray, ...], read: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best chain of each read's candidates: (read, mode), in order. ``read`` and ``span`` are the repeats, sorted by read.
 
-    left = places.withColumn("doc_id", F.col("doc_id").cast("long"))
-    right = changes.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInArrow(of_read, "doc_id long, mode long, insert long")
-
-
-def refined(chain: DataFrame, hits: DataFrame) -> DataFrame:
-    """Centres (doc_id, centre, support) from the hits whose middle lies nearest to a chain's place, within a third of the insert.
+    Each repeat lifts the support of distances within about 5 % of half its span. Reads without repeats get a hundred units around
+    the estimated insert.
+    """
+    owner, at, density = places
+    which, first = runs(owner)
+    none = which[repeats[which] == 0]
+    of, half, by = np.concatenate([read, none]), np.concatenate([span // 2, insert[none]]), np.concatenate([np.ones(len(read), dtype=np.int64), unit[none] * 100])
+    base = np.concatenate([[0], np.cumsum(n + 2)])
+    side = half // 20
+    change = np.bincount(base[of] + half - side, by, base[-1]) - np.bincount(base[of] + half + side + 1, by, base[-1])
+    steps = np.flatnonzero(change)
+    a, z = np.searchsorted(steps, base[which]), np.searchsorted(steps, base[which + 1])
+    out = [best_chain(at[first[i] : first[i + 1]], density[first[i] : first[i + 1]], int(n[r]), int(insert[r]), int(unit[r]), steps[a[i] : z[i]] - base[r], change[steps[a[i] : z[i]]]) for i, r in enumerate(which)]
+    return np.repeat(which, [len(x) for x in out]), np.array([m for x in out for m in x], dtype=np.int64)
+
+
+def refined(n: np.ndarray, insert: np.ndarray, chain: tuple[np.ndarray, np.ndarray], read: np.ndarray, fwd: np.ndarray, rev: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centres (read, centre, support) from the hits (sorted by read, fwd, rev) whose middle lies nearest to a chain's place, within a third of the insert.
 
     The choices are the median middle of the NEAREST hits, the place itself and the median of all, the first with the most hits that
     span it (two at least). Of centres no further than an eighth of the insert from the one before, the best supported stays.
     """
-    both = hits.select("doc_id", F.expr("(fwd + rev) div 2").alias("at"), "fwd", "rev").unionByName(chain.select("doc_id", F.col("mode").alias("at"), "mode", "insert"), allowMissingColumns=True)
-    # a place of the chain sorts before hits of the same middle; going back, the first at or after it
-    ahead = Window.partitionBy("doc_id").orderBy("at", F.col("mode").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    behind = Window.partitionBy("doc_id").orderBy("at", F.col("mode").isNull()).rowsBetween(0, Window.unboundedFollowing)
-    both = both.select("*", F.last("mode", True).over(ahead).alias("left"), F.first("mode", True).over(behind).alias("right"), F.max("insert").over(Window.partitionBy("doc_id")).alias("size"))
-    nearer = F.when(F.col("left").isNull() | (F.col("right") - F.col("at") < F.col("at") - F.col("left")), F.col("right")).otherwise(F.col("left"))
-    near = both.where("rev is not null").select("doc_id", "at", "fwd", "rev", "size", nearer.alias("mode")).withColumn("far", F.abs(F.col("rev") - F.col("mode")) + F.abs(F.col("fwd") - F.col("mode")))
-    near = near.where("abs(at - mode) <= size / 3 and far <= size * 2.2")
-    group = ["doc_id", "mode"]
-    near = near.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy("far", "fwd", "rev")))
-    near = near.withColumn("all", F.row_number().over(Window.partitionBy(*group).orderBy("at", "fwd", "rev"))).withColumn("n", F.count("*").over(Window.partitionBy(*group)))
-    close = F.count(F.when(F.col("rank") <= NEAREST, 1))
-    near = near.withColumn("few", close.over(Window.partitionBy(*group).orderBy("at", "fwd", "rev").rowsBetween(Window.unboundedPreceding, 0)))
-    over = lambda c: F.max(c).over(Window.partitionBy(*group))
-    near = near.select("*", over(F.when((F.col("rank") <= NEAREST) & (F.col("few") == NEAREST // 2 + 1) & (F.col("n") >= NEAREST), F.col("at"))).alias("m1"), over(F.when(F.col("all") == F.expr("n div 2") + 1, F.col("at"))).alias("m3"))
-    spanning = lambda c: F.count(F.when((F.col("fwd") < F.col(c)) & (F.col("rev") > F.col(c)), 1))
-    told = near.groupBy("doc_id", "mode", "m1", "m3", "size").agg(spanning("m1").alias("s1"), spanning("mode").alias("s2"), spanning("m3").alias("s3"))
-    choice = F.greatest(*[F.struct(F.col(s).alias("support"), F.lit(-i).alias("first"), F.col(m).alias("centre")) for i, (s, m) in enumerate([("s1", "m1"), ("s2", "mode"), ("s3", "m3")])])
-    centres = told.select("doc_id", "size", choice.alias("x")).select("doc_id", "size", "x.centre", "x.support").where("support > 1")
-    read = Window.partitionBy("doc_id").orderBy("centre", F.desc("support"))
-    apart = F.coalesce(F.col("centre") - F.lag("centre").over(read) > F.col("size") / 8, F.lit(True)).cast("int")
-    islands = centres.withColumn("apart", apart).withColumn("island", F.sum("apart").over(read))
-    best = islands.groupBy("doc_id", "island").agg(F.min(F.struct(-F.col("support"), "centre")).alias("x"), F.max("support").alias("support"))
-    return best.select("doc_id", "x.centre", "support")
+    owner, mode = chain
+    starts, at = np.concatenate([[0], np.cumsum(n)]), (fwd + rev) // 2
+    line = starts[owner] + mode
+    ahead, behind = np.searchsorted(line, starts[read] + at, side="right") - 1, np.searchsorted(line, starts[read] + at)
+    left, right = (ahead >= 0) & (owner[ahead] == read), (behind < len(line)) & (owner[np.minimum(behind, len(line) - 1)] == read)
+    group = np.where(~left | (right & (mode[np.minimum(behind, len(line) - 1)] - at < at - mode[ahead])), behind, ahead)
+    near = np.flatnonzero(left | right)
+    group, fwd, rev, at = group[near], fwd[near], rev[near], at[near]
+    far = np.abs(rev - mode[group]) + np.abs(fwd - mode[group])
+    size = insert[owner[group]]
+    near = np.flatnonzero((3 * np.abs(at - mode[group]) <= size) & (5 * far <= 11 * size))
+    group, fwd, rev, at, far = group[near], fwd[near], rev[near], at[near], far[near]
+    count = np.bincount(group, minlength=len(mode))
+    first = np.concatenate([[0], np.cumsum(count)])[:-1]
+    full, some = np.flatnonzero(count >= NEAREST), np.flatnonzero(count)
+    nearest = at[np.argsort(group << 40 | far, kind="stable")]
+    middle = at[np.lexsort((at, group))]
+    choices = np.stack([mode, mode, mode])
+    choices[0, full] = np.sort(nearest[first[full][:, None] + np.arange(NEAREST)], axis=1)[:, NEAREST // 2]
+    choices[2, some] = middle[first[some] + count[some] // 2]
+    told = np.stack([np.bincount(group[(fwd < c[group]) & (rev > c[group])], minlength=len(mode)) for c in choices])
+    told[0, count < NEAREST] = -1
+    best = told.argmax(axis=0)
+    support, centre = told[best, np.arange(len(mode))], choices[best, np.arange(len(mode))]
+    keep = np.flatnonzero(support > 1)
+    keep = keep[np.lexsort((centre[keep], owner[keep]))]
+    owner, centre, support = owner[keep], centre[keep], support[keep]
+    apart = (np.diff(owner, prepend=-1) != 0) | (8 * np.diff(centre, prepend=0) > insert[owner])
+    order = np.lexsort((centre, -support, np.cumsum(apart)))
+    order = order[np.flatnonzero(apart)]
+    return owner[order], centre[order], support[order]
+
+
+def turns(letters: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each read of a block turns: arrays read, centre and support."""
+    n = np.diff(starts)
+    read, turned, fwd, rev = kernels.seeds_met(letters, starts, K, REPEAT)
+    met = np.bincount(read[turned], minlength=len(n)) > 0
+    order = np.argsort((starts[read] + fwd) << 32 | rev)
+    order = order[met[read[order]]]
+    read, turned, fwd, rev = read[order], turned[order], fwd[order], rev[order]
+    insert, unit, repeats = inserts(n, read, turned, rev - fwd)
+    hit = turned & (rev - fwd < 3 * insert[read])
+    if not hit.any():
+        return (np.zeros(0, dtype=np.int64),) * 3
+    places = candidates(n, insert, read[hit], (fwd[hit] + rev[hit]) // 2)
+    chain = chains(n, insert, unit, repeats, places, read[~turned], (rev - fwd)[~turned])
+    if not len(chain[0]):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    return refined(n, insert, chain, read[hit], fwd[hit], rev[hit])
 
 
 def centres(reads: DataFrame) -> DataFrame:
-    """Where each read (doc_id, s) turns: (doc_id, centre, support), ``centre`` the letters before it."""
+    """Where each read (doc_id, s) turns: (doc_id, centre, support), ``centre`` the letters before it. Each row is a read, told where it is read."""
     ship_package(reads.sparkSession)
-    spans = written(found(reads), "seeds")
-    sizes = written(estimated(spans, reads), "inserts")
-    hits = spans.where("turned").join(sizes, "doc_id").where("rev - fwd < 3 * insert")
-    return refined(chained(candidates(hits), support(spans, sizes)), hits)
+    return by_block(reads, turns, "centre long, support long")
 
 
 @query()
